@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
@@ -33,3 +34,8 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder, a Parquet file or a folder of them."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def process_cache() -> dict:
+    """Objects kept for the life of a Python process. Functions that travel by value bring their module's globals along, so a worker's caches stay outside of them."""
+    return sys.__dict__.setdefault("_rovermill_cache", {})
