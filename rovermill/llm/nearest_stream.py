@@ -83,7 +83,8 @@ def _matcher(rules: NearestRules):  # noqa: ANN202
                 state.remove()
             return
         state.update(tuple(x.tobytes() for x in (lu, lo, li, ru, ri)))
-        last = int(max(lu.max() if len(lu) else 0, ru.max() if len(ru) else 0))
+        # the last waiting left row is due at its horizon; candidates alone wait for their own
+        last = int(lu.max() if len(lu) else ru.max())
         state.setTimeoutTimestamp(max((last + tol) // 1000 + 2, state.getCurrentWatermarkMs() + 1))
 
     return fold
@@ -140,9 +141,10 @@ def replay_matches(spark: SparkSession, traj_path: str, frames_path: str, rules:
     """
     r = rules or NearestRules()
 
+    # a file source takes a single file only as a pattern; a pattern serves folders as well
     def source(path: str, names: list[str]) -> DataFrame:
         full = spark.read.parquet(path).schema
-        return spark.readStream.schema(StructType([full[n] for n in names])).parquet(path)
+        return spark.readStream.schema(StructType([full[n] for n in names])).parquet(path[:-1] + f"[{path[-1]}]")
 
     work = shared_dir(spark, "nearest")
     found = match_stream(odometry_events(source(traj_path, ["traj_id", "ride_id", "timestamps", "control_timestamps"]), source(frames_path, ["ride_id", "frame_id", "timestamp"]), r), r)
