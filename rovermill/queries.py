@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rovermill.operators import compaction, nested, regular_grid, spikes, trips
+from rovermill.plans import reference
 from rovermill.runtime import shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,8 +88,8 @@ select distinct traj_id, unnest(range(us // 250000 + 1, cast(ceil(nxt / 250000.0
 
 
 def queries() -> dict[str, Query]:
-    return problem_queries()
+    return problem_queries() | reference.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return problem_sql()
+    return problem_sql() | reference.SQL

@@ -63,4 +63,4 @@ def file_number(name: Column) -> Column:
 
 
 def data_url(content: Column, mime: str = "image/jpeg") -> Column:
-    return F.concat(F.lit(f"data:{mime};base64,"), F.base64(content))
+    return F.concat(F.lit(f"data:{mime};base64,"), F.translate(F.base64(content), "\r\n", ""))
