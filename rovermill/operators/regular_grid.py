@@ -64,7 +64,9 @@ def impute(v: np.ndarray, r: GridRules) -> np.ndarray:
         out[gap] = new
         if moved <= r.tolerance * size:
             break
-    return out + mid
+    out += mid
+    out[~gap] = v[~gap]
+    return out
 
 
 def regularise(us: np.ndarray, values: np.ndarray, r: GridRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

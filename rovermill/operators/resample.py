@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BY_RECORD = Window.partitionBy("traj_id").orderBy("idx")
+
+def by_record() -> WindowSpec:
+    return Window.partitionBy("traj_id").orderBy("idx")
 
 
 def spacing(odom: DataFrame) -> DataFrame:
     """Adds step_m and step_us, distance and time to the record's row before (null at its first)."""
-    d = lambda c: F.col(c) - F.lag(c).over(BY_RECORD)
+    d = lambda c: F.col(c) - F.lag(c).over(by_record())
     return odom.withColumn("step_m", F.sqrt(F.pow(d("x"), 2) + F.pow(d("y"), 2))).withColumn("step_us", d("us"))
 
 
@@ -25,10 +27,10 @@ def straight(linear: Column, angular: Column, least: float = 0.1, turn: float =
 
 def runs_of(df: DataFrame, flag: str) -> DataFrame:
     """traj_id, run, start_idx, end_idx, start_us, end_us, n of the maximal runs of rows whose flag is true; end is the first row after the run, or the record's last one."""
-    change = F.when(F.lag(flag).over(BY_RECORD) == F.col(flag), 0).otherwise(1)
+    change = F.when(F.lag(flag).over(by_record()) == F.col(flag), 0).otherwise(1)
     last = Window.partitionBy("traj_id")
-    nxt = F.struct(F.lead("idx").over(BY_RECORD).alias("i"), F.lead("us").over(BY_RECORD).alias("u"))
-    d = df.withColumn("_next", nxt).withColumn("run", F.sum(change).over(BY_RECORD)).withColumn("_end", F.max(F.struct("idx", "us")).over(last))
+    nxt = F.struct(F.lead("idx").over(by_record()).alias("i"), F.lead("us").over(by_record()).alias("u"))
+    d = df.withColumn("_next", nxt).withColumn("run", F.sum(change).over(by_record())).withColumn("_end", F.max(F.struct("idx", "us")).over(last))
     g = d.where(F.col(flag)).groupBy("traj_id", "run").agg(F.min(F.struct("idx", "us")).alias("a"), F.max_by("_next", "idx").alias("b"), F.max("_end").alias("e"), F.count(F.lit(1)).alias("n"))
     return g.select("traj_id", "run", F.col("a.idx").alias("start_idx"), F.coalesce("b.i", "e.idx").alias("end_idx"), F.col("a.us").alias("start_us"), F.coalesce("b.u", "e.us").alias("end_us"), "n")
 
@@ -37,21 +39,21 @@ def without_pauses(odom: DataFrame, min_rows: int = 10) -> DataFrame:
     """Rows of odom (traj_id, idx, paused, ...) outside of pauses, renumbered densely as new_idx; a pause that reaches the record's end keeps the last row. Records of fewer than min_rows rows left are rejected."""
     w = Window.partitionBy("traj_id")
     keep = odom.withColumn("_last", F.col("idx") == F.max("idx").over(w)).where(~F.col("paused") | F.col("_last")).drop("_last")
-    keep = keep.withColumn("new_idx", (F.row_number().over(BY_RECORD) - 1).cast("long")).withColumn("_n", F.count(F.lit(1)).over(w))
+    keep = keep.withColumn("new_idx", (F.row_number().over(by_record()) - 1).cast("long")).withColumn("_n", F.count(F.lit(1)).over(w))
     return keep.where(F.col("_n") >= min_rows).drop("_n")
 
 
 def every(df: DataFrame, stride: int) -> DataFrame:
     """Each stride-th row of every record, from its first."""
-    return df.withColumn("_k", F.row_number().over(BY_RECORD) - 1).where(F.col("_k") % stride == 0).drop("_k")
+    return df.withColumn("_k", F.row_number().over(by_record()) - 1).where(F.col("_k") % stride == 0).drop("_k")
 
 
 def by_segment(df: DataFrame, straight_stride: Column | int, turn_stride: int = 4) -> DataFrame:
     """Strided rows, the stride starting anew in every segment of equal `straight`; row 0 is never straight, and a straight run that reaches the end leaves the last row to the tail."""
     w = Window.partitionBy("traj_id")
     d = df.withColumn("_s", F.col("straight") & (F.col("idx") > F.min("idx").over(w)) & (F.col("idx") < F.max("idx").over(w)))
-    change = F.when(F.lag("_s").over(BY_RECORD) == F.col("_s"), 0).otherwise(1)
-    d = d.withColumn("segment", F.sum(change).over(BY_RECORD))
+    change = F.when(F.lag("_s").over(by_record()) == F.col("_s"), 0).otherwise(1)
+    d = d.withColumn("segment", F.sum(change).over(by_record()))
     k = F.row_number().over(Window.partitionBy("traj_id", "segment").orderBy("idx")) - 1
     stride = F.when(F.col("_s"), straight_stride if isinstance(straight_stride, Column) else F.lit(straight_stride)).otherwise(F.lit(turn_stride))
     return d.withColumn("_k", k).where(F.pmod(F.col("_k"), stride) == 0).drop("_s", "_k")

@@ -193,7 +193,7 @@ def p04(spark: SparkSession, d: str) -> DataFrame:
 
 @ref("ref_p05_rebase", f"with {ODO}, o as (select * from odo where isfinite(x) and isfinite(y)) select traj_id, idx, round(x - first_value(x) over w, 6) as x, round(y - first_value(y) over w, 6) as y from o window w as (partition by traj_id order by idx)")
 def p05(spark: SparkSession, d: str) -> DataFrame:
-    w = resample.BY_RECORD
+    w = resample.by_record()
     o = odometry(spark, d).where(finite(F.col("x")) & finite(F.col("y")))
     return o.select("traj_id", "idx", r6(F.col("x") - F.first("x").over(w)).alias("x"), r6(F.col("y") - F.first("y").over(w)).alias("y"))
 
@@ -450,7 +450,7 @@ def w02(spark: SparkSession, d: str) -> DataFrame:
 
 @ref("ref_w03_heading", f"with {_GOOD} select traj_id, idx, round(coalesce(atan2(y - lag(y) over w, x - lag(x) over w), 0), 6) as heading from g window w as (partition by traj_id order by idx)")
 def w03(spark: SparkSession, d: str) -> DataFrame:
-    w = resample.BY_RECORD
+    w = resample.by_record()
     dy, dx = (F.col(c) - F.lag(c).over(w) for c in ("y", "x"))
     return odometry(spark, d).where(finite(F.col("x")) & finite(F.col("y"))).select("traj_id", "idx", r6(F.coalesce(F.atan2(dy, dx), F.lit(0.0))).alias("heading"))
 
@@ -458,7 +458,7 @@ def w03(spark: SparkSession, d: str) -> DataFrame:
 @ref("ref_w04_speed", f"with {_GOOD}, v as (select traj_id, idx, us, dt, case when dt > 0 then step / (dt / 1e6) end as speed, case when dt > 0 then atan2(y - lag(y) over w, x - lag(x) over w) end as h from s window w as (partition by traj_id order by idx)) select traj_id, idx, round(speed, 4) as speed, round((h - lag(h) over (partition by traj_id order by idx)) / (dt / 1e6), 4) as yaw_rate from v where dt > 0 ")
 def w04(spark: SparkSession, d: str) -> DataFrame:
     """Speed and yaw rate from positions; the heading is not unwrapped."""
-    w = resample.BY_RECORD
+    w = resample.by_record()
     dy, dx = (F.col(c) - F.lag(c).over(w) for c in ("y", "x"))
     s = _good(spark, d).withColumn("h", F.when(F.col("step_us") > 0, F.atan2(dy, dx))).where("step_us > 0")
     dt = F.col("step_us") / 1e6
