@@ -56,7 +56,9 @@ DOT_RULES = [
     r"\.(?=" + W + r"*\p{Lu})(?<=" + _NO_LETTER + r"\p{Lu}\.)(?<!\p{N}" + W + r"\p{Lu}\.)",
     r"\.(?=" + W + r"+\p{Lu})(?<=\p{N}\.)(?<=(?:[AaIi]m|[Vv]om|[Zz]um|[Bb]eim|[Dd](?:er|en|em|ie|as))" + W + r"\p{N}{1,3}\.)",
 ]
-QUOTES = (("“", "”"), ("«", "»"), ("「", "」"), ("『", "』"), ("„", "“"))
+OPENING, CLOSING = "“«「『„", "”»」』“"
+#: All of them, as few ranges.
+_QUOTES = r"\x{AB}\x{BB}\x{201C}-\x{201E}\x{300C}-\x{300F}"
 
 
 def masked(text: Column) -> Column:
@@ -65,10 +67,11 @@ def masked(text: Column) -> Column:
     t = F.translate(t, "\r  \x0b\x0c\x85", "\n" * 6)
     for pattern in DOT_RULES:
         t = F.regexp_replace(t, pattern, DOT)
-    # terminators in quotations; the last one of a quotation stays if a capital begins the next sentence
-    for a, b in QUOTES:
-        last = rf"(?![{STOPS}]{{0,3}}{W}?{b}{W}+\p{{Lu}})"
-        t = F.regexp_replace(t, rf"[{STOPS}](?=[^{a}{b}]{{0,200}}+{b}){last}(?<={a}[^{a}{b}]{{0,200}}[{STOPS}])", HELD)
+    # terminators in quotations, from the opening mark on (\G: from the one masked before); the last one of a quotation
+    # stays if a capital begins the next sentence
+    last = rf"(?![{STOPS}]{{0,3}}{W}?[{CLOSING}]{W}+\p{{Lu}})"
+    to_stop, to_close = rf"[^{_QUOTES}{STOPS}]{{0,200}}+", rf"[^{_QUOTES}]{{0,200}}+"
+    t = F.regexp_replace(t, rf"((?:[{OPENING}]|(?!^)\G){to_stop}){last}[{STOPS}](?={to_close}[{CLOSING}])", "$1" + HELD)
     return t
 
 
