@@ -36,6 +36,7 @@ class StopRules:
     frozen_rows: int = 5
     jump_m: float = 20.0
     top_speed: float = 2.5
+    least_speed: float = 0.4
     chunk_s: int = 10_800
     halo_s: int = 1_500
 
@@ -105,7 +106,7 @@ def core_fixes(t: np.ndarray, x: np.ndarray, y: np.ndarray, r: StopRules) -> np.
     return (near >= r.cover_s) & ((near >= r.share * every) | (near >= r.share * r.window_s))
 
 
-def change_point(t: np.ndarray, x: np.ndarray, y: np.ndarray, rest: np.ndarray, edge: int, sign: int) -> int:
+def change_point(t: np.ndarray, x: np.ndarray, y: np.ndarray, rest: np.ndarray, edge: int, sign: int, least_speed: float) -> int:
     """Index of the first (sign 1) or last (sign -1) fix at rest: the split with least squared error of approach and rest."""
     n, inner = len(t), rest[0] if sign > 0 else rest[-1]
     out = edge
@@ -126,6 +127,8 @@ def change_point(t: np.ndarray, x: np.ndarray, y: np.ndarray, rest: np.ndarray,
             lead = np.minimum(tt[:s] - tt[s] + (tt[s] - tt[s - 1]) * 0.5, 0)
             q = (lead**2).sum()
             vx, vy = (((px[:s] - cx) * lead).sum() / q, ((py[:s] - cy) * lead).sum() / q) if q > 0 else (0.0, 0.0)
+            if np.hypot(vx, vy) < least_speed:
+                continue  # not an approach, only the wandering of fixes at rest
             sse += ((px[:s] - cx - vx * lead) ** 2 + (py[:s] - cy - vy * lead) ** 2).sum()
         if sse < best - 1e-9:
             best, at = sse, s
@@ -155,7 +158,7 @@ def stops_of(t: np.ndarray, x: np.ndarray, y: np.ndarray, r: StopRules) -> list[
             a -= 1
         while b < len(t) - 1 and np.hypot(x[b + 1] - cx, y[b + 1] - cy) <= r.radius_m:
             b += 1
-        s, e = change_point(t, x, y, g, a, 1), change_point(t, x, y, g, b, -1)
+        s, e = change_point(t, x, y, g, a, 1, r.least_speed), change_point(t, x, y, g, b, -1, r.least_speed)
         if out and s <= out[-1][1]:
             s = out[-1][1] + 1
         if e > s and t[e] - t[s] >= r.min_stop_s:
