@@ -126,16 +126,18 @@ def position_flags(t: np.ndarray, lat: np.ndarray, lon: np.ndarray, rules: Chart
     out = (np.abs(np.nan_to_num(lat, posinf=0, neginf=0)) > 90) | (np.abs(np.nan_to_num(lon, posinf=0, neginf=0)) > 180) | ((lat == 0) & (lon == 0))
     for lo, hi in zip(*runs(np.r_[True, np.diff(t) > rules.leg_s]), strict=True):
         i = lo + np.flatnonzero((have & ~out)[lo:hi])
+        stuck = frozen_runs(lat[i], lon[i], rules.gps_stuck)
+        out[i[stuck]] = True
+        i = i[~stuck]
         if len(i) < 3:
             continue
         x, y = to_metres(lat[i], lon[i])
         good = np.ones(len(i), bool)
         bad = np.zeros(len(i), bool)
-        for _ in range(3):  # a second look once the worst no longer pull the medians
+        # the wildest go first, so that they don't pull the medians their neighbours are judged by
+        for jump in (3 * rules.gps_jump_m, rules.gps_jump_m, rules.gps_jump_m):
             j = np.flatnonzero(good)
-            hit = j[off_path(t[i[j]], x[j], y[j], rules.gps_jump_m, rules.gps_speed)]
-            if len(hit) == 0:
-                break
+            hit = j[off_path(t[i[j]], x[j], y[j], jump, rules.gps_speed)]
             bad[hit] = True
             good[hit] = False
         # chart of the distance to the line between the neighbours
@@ -149,7 +151,6 @@ def position_flags(t: np.ndarray, lat: np.ndarray, lon: np.ndarray, rules: Chart
             top = np.r_[True, res[1:] >= res[:-1]] & np.r_[res[:-1] > res[1:], True]
             bad[j[1:-1][flag & top]] = True
         out[i[bad]] = True
-        out[i[frozen_runs(lat[i], lon[i], rules.gps_stuck)]] = True
     return out
 
 
