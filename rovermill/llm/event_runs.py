@@ -140,15 +140,16 @@ def equal_runs(control: DataFrame, rules: RunRules | None = None) -> DataFrame:
     w = Window.partitionBy(*part).orderBy("us", "control_id")
     once = rows.withColumn("again", F.coalesce(F.lag("control_id").over(w) == F.col("control_id"), F.lit(False))).where("not again")
     by_value = Window.partitionBy(*part, "linear", "angular").orderBy("us", "control_id")
-    numbered = once.withColumn("island", F.row_number().over(w) - F.row_number().over(by_value))
+    rows_ = once.withColumn("place", F.row_number().over(w)).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy(*part)))
+    numbered = rows_.withColumn("island", F.col("place") - F.row_number().over(by_value))
     at = F.struct("us", "control_id")
-    parts = numbered.groupBy(*part, "linear", "angular", "island").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count(F.lit(1)).alias("n"))
-    # parts of neighbouring chunks: only the first and last part of a chunk can continue
-    v = Window.partitionBy("ride_id").orderBy("first")
-    joins = (F.lag("linear").over(v) == F.col("linear")) & (F.lag("angular").over(v) == F.col("angular"))
-    whole = parts.withColumn("run", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(v))
-    return (
-        whole.groupBy("ride_id", "run")
-        .agg(F.min("first").alias("a"), F.max("last").alias("b"), F.sum("n").alias("n"))
-        .select("ride_id", F.col("a.control_id").alias("first_id"), F.col("b.control_id").alias("last_id"), "n", F.round((F.col("b.us") - F.col("a.us")) / 1e6, 6).alias("duration_s"))
-    )
+    ends = [(F.min("place") == 1).alias("opens"), (F.max("place") == F.max("size")).alias("closes")]
+    parts = numbered.groupBy(*part, "linear", "angular", "island").agg(F.min(at).alias("a"), F.max(at).alias("b"), F.count(F.lit(1)).alias("n"), *ends)
+    # only a part at its chunk's border can go on: two rows a chunk are put in order per ride, all other runs are whole
+    v = Window.partitionBy("ride_id").orderBy("a")
+    joins = F.col("opens") & F.lag("closes").over(v) & (F.lag("linear").over(v) == F.col("linear")) & (F.lag("angular").over(v) == F.col("angular"))
+    edge = parts.where("opens or closes").withColumn("run", F.sum(F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).over(v))
+    edge = edge.groupBy("ride_id", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("n").alias("n"))
+    cols = ["ride_id", "a", "b", "n"]
+    whole = parts.where("not opens and not closes").select(*cols).unionByName(edge.select(*cols))
+    return whole.select("ride_id", F.col("a.control_id").alias("first_id"), F.col("b.control_id").alias("last_id"), "n", F.round((F.col("b.us") - F.col("a.us")) / 1e6, 6).alias("duration_s"))
