@@ -21,6 +21,7 @@ from rovermill.runtime import shared_dir
 
 LEFT, RIGHT, END = 0, 1, 2
 MATCHES = "traj_id long, odom_idx long, side string, match_id long, distance_us long"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = "left_us binary, left_owner binary, left_id binary, right_us binary, right_id binary"
 
 
@@ -148,7 +149,13 @@ def replay_matches(spark: SparkSession, traj_path: str, frames_path: str, rules:
 
     work = shared_dir(spark, "nearest")
     found = match_stream(odometry_events(source(traj_path, ["traj_id", "ride_id", "timestamps", "control_timestamps"]), source(frames_path, ["ride_id", "frame_id", "timestamp"]), r), r)
-    query = found.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
+    # state on local disk with change logs in the shared folder: it may outgrow the heap, and survives a lost executor
+    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(name, ROCKS)
+    try:
+        query = found.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(name, before)
     # one key sees a record's repeats in one batch; should they come in several, the first match stays
     return spark.read.schema(found.schema).parquet(f"{work}/out").dropDuplicates(["traj_id", "odom_idx", "side"])
