@@ -30,7 +30,7 @@ class NearestRules:
     """tolerance_us: inclusive; block_us: time covered by one state key; lateness: how far behind the newest row a row may arrive."""
 
     tolerance_us: int = 100_000
-    block_us: int = 600_000_000
+    block_us: int = 1_800_000_000
     lateness: str = "0 seconds"
 
 
@@ -68,11 +68,16 @@ def _matcher(rules: NearestRules):  # noqa: ANN202
         due = np.ones(len(lu), bool) if state.hasTimedOut else lu + tol < mark
         if due.any():
             match, dist = nearest(lu[due], ru, ri, tol)
-            hit = match >= 0
-            out = pd.DataFrame({"traj_id": lo[due][hit], "odom_idx": li[due][hit], "side": key[0], "match_id": match[hit], "distance_us": dist[hit]})
-            out = out.drop_duplicates(["traj_id", "odom_idx"])
-            if len(out):
-                yield out
+            # a record that came twice counts once
+            hit = np.flatnonzero(match >= 0)
+            own, at = lo[due][hit], li[due][hit]
+            order = np.lexsort((at, own))
+            own, at = own[order], at[order]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1])
+            if len(order):
+                rows = hit[order[fresh]]
+                yield pd.DataFrame({"traj_id": own[fresh], "odom_idx": at[fresh], "side": key[0], "match_id": match[rows], "distance_us": dist[rows]})
             lu, lo, li = lu[~due], lo[~due], li[~due]
         # candidates that no waiting and no coming left row can reach
         reach = min(int(lu.min()) if len(lu) else mark, mark) - tol if mark > 0 else None
