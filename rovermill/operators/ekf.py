@@ -6,6 +6,7 @@ between two long pauses, is a group of its own: the filter starts anew there, as
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,18 +28,29 @@ class FilterRules:
 
 
 class State:
+    """x, y, heading and the upper half of their covariance, as plain numbers: a step is a few dozen multiplications."""
+
     def __init__(self, rules: FilterRules) -> None:
-        self.s, self.p, self.rules = np.zeros(3), np.eye(3), rules
+        self.s = (0.0, 0.0, 0.0)
+        self.p = (1.0, 0.0, 0.0, 1.0, 0.0, 1.0)
+        self.rules = rules
 
     def step(self, v: float, w: float, dt: float, x: float, y: float) -> None:
-        r, th = self.rules, self.s[2]
-        self.s = self.s + np.array([v * np.cos(th) * dt, v * np.sin(th) * dt, w * dt])
-        f = np.eye(3)
-        f[0, 2], f[1, 2] = -v * np.sin(th) * dt, v * np.cos(th) * dt
-        self.p = f @ self.p @ f.T + r.process * np.eye(3)
-        gain = self.p[:, :2] @ np.linalg.inv(self.p[:2, :2] + r.measure * np.eye(2))
-        self.s = self.s + gain @ (np.array([x, y]) - self.s[:2])
-        self.p = self.p - gain @ self.p[:2]
+        """Predicts over dt and corrects by a position."""
+        q, r = self.rules.process, self.rules.measure
+        sx, sy, th = self.s
+        c, s = math.cos(th) * v * dt, math.sin(th) * v * dt
+        sx, sy, th = sx + c, sy + s, th + w * dt
+        # covariance after the motion, whose only coupling is position by heading: (-s, c)
+        a, b, d, e, f, g = self.p
+        a, b, d, e, f, g = a - 2 * s * d + s * s * g + q, b - s * f + c * d - s * c * g, d - s * g, e + 2 * c * f + c * c * g + q, f + c * g, g + q
+        # gain = covariance with the position x inverse of the position's own plus noise
+        m, n = a + r, e + r
+        det = m * n - b * b
+        k = [((i * n - j * b) / det, (j * m - i * b) / det) for i, j in ((a, b), (b, e), (d, f))]
+        dx, dy = x - sx, y - sy
+        self.s = (sx + k[0][0] * dx + k[0][1] * dy, sy + k[1][0] * dx + k[1][1] * dy, th + k[2][0] * dx + k[2][1] * dy)
+        self.p = (a - k[0][0] * a - k[0][1] * b, b - k[0][0] * b - k[0][1] * e, d - k[0][0] * d - k[0][1] * f, e - k[1][0] * b - k[1][1] * e, f - k[1][0] * d - k[1][1] * f, g - k[2][0] * d - k[2][1] * f)
 
 
 def run_filter(ct: np.ndarray, v: np.ndarray, w: np.ndarray, gt: np.ndarray, gx: np.ndarray, gy: np.ndarray, rules: FilterRules) -> np.ndarray:
@@ -47,7 +59,8 @@ def run_filter(ct: np.ndarray, v: np.ndarray, w: np.ndarray, gt: np.ndarray, gx:
         return np.zeros((0, 4))
     anchor = int(np.argmin(np.abs(ct - gt[0])))
     first = g = int(np.argmin(np.abs(gt - ct[anchor])))
-    x, y = gx - gx[first], gy - gy[first]
+    x, y = (gx - gx[first]).tolist(), (gy - gy[first]).tolist()
+    ct, v, w, gt = ct.tolist(), v.tolist(), w.tolist(), gt.tolist()
     st = State(rules)
     out = [(0.0, 0.0, 0.0, ct[anchor])]
     keep = lambda i: out.append((*st.s, ct[i]))
@@ -96,6 +109,6 @@ def filtered_track(events: DataFrame, rules: FilterRules | None = None) -> DataF
 
 def legs(df: DataFrame, gap_us: int = 600_000_000, order: tuple[str, ...] = ("us", "kind")) -> DataFrame:
     """Adds leg, the number of pauses longer than gap_us before a row of its ride. df has a chunk column."""
-    p = previous(df, ["us"], ("ride_id",), order)
+    p = previous(df, ["us"], ("ride_id",), order, settle=True)
     new = F.when(F.col("us") - F.col("prev.us") > gap_us, 1).otherwise(0).cast("long")
     return running(p, {"leg": new}, ("ride_id",), order).drop("prev")

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rovermill.runtime import cut
+
 HOUR_US = 3_600_000_000
 
 
@@ -19,8 +21,12 @@ def chunked(df: DataFrame, span_us: int = HOUR_US) -> DataFrame:
     return df.withColumn("chunk", F.floor(F.col("us") / F.lit(span_us)))
 
 
-def previous(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id")) -> DataFrame:
-    """Adds prev, a struct of order and cols of the entity's row before (null at its first). df has a chunk column; order is unique within the entity."""
+def previous(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id"), settle: bool = False) -> DataFrame:
+    """Adds prev, a struct of order and cols of the entity's row before (null at its first). df has a chunk column; order is unique within the entity.
+
+    df is read twice, for the rows and for the summary. settle writes it to the shared folder first: right for anything dearer than a scan.
+    """
+    df = cut(df, "rows") if settle else df
     keys = [*entity, "chunk"]
     row = F.struct(*dict.fromkeys([*order, *cols]))
     w = Window.partitionBy(*keys).orderBy(*order)
@@ -30,8 +36,9 @@ def previous(df: DataFrame, cols: Sequence[str], entity: Sequence[str] = ("ride_
     return out.withColumn("prev", F.coalesce("prev", "_carry")).drop("_carry")
 
 
-def running(df: DataFrame, sums: dict[str, Column], entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id")) -> DataFrame:
-    """Adds running sums (null terms count as 0) up to and with each row of its entity."""
+def running(df: DataFrame, sums: dict[str, Column], entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id"), settle: bool = True) -> DataFrame:
+    """Adds running sums (null terms count as 0) up to and with each row of its entity. settle as in previous, so that stacked calls don't double the work below them each time."""
+    df = cut(df, "rows") if settle else df
     keys = [*entity, "chunk"]
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*entity).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,7 +51,7 @@ def running(df: DataFrame, sums: dict[str, Column], entity: Sequence[str] = ("ri
 
 def numbered(df: DataFrame, name: str = "seq", entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id")) -> DataFrame:
     """Adds the 0-based position of each row in its entity."""
-    return running(df, {name: F.lit(1).cast("long")}, entity, order).withColumn(name, F.col(name) - 1)
+    return running(df, {name: F.lit(1).cast("long")}, entity, order, settle=False).withColumn(name, F.col(name) - 1)
 
 
 def islands(df: DataFrame, flag: Column, entity: Sequence[str] = ("ride_id",), order: Sequence[str] = ("us", "control_id")) -> DataFrame:

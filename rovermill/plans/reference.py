@@ -383,7 +383,7 @@ def g05(spark: SparkSession, d: str) -> DataFrame:
     s = numbered(clean_control(spark, d))
     n = s.groupBy("ride_id").agg(F.count(F.lit(1)).alias("n"))
     late = s.join(n, "ride_id").where(F.col("seq") >= F.floor(F.col("n") * 0.2)).select("ride_id", "chunk", "control_id", "us")
-    return previous(late, ["us"]).groupBy("ride_id").agg(F.round(F.avg(F.col("us") - F.col("prev.us")) / 1e6, 4).alias("mean_dt"))
+    return previous(late, ["us"], settle=True).groupBy("ride_id").agg(F.round(F.avg(F.col("us") - F.col("prev.us")) / 1e6, 4).alias("mean_dt"))
 
 
 @ref("ref_g06_missing_list", "with l as (select distinct ride_id, frame_id from front_camera_timestamps where timestamp is null) select ride_id, frame_id // 1000 as block, string_agg(cast(frame_id as varchar), ',' order by frame_id) as missing from l group by all")
@@ -716,7 +716,7 @@ def vrpm(spark: SparkSession, d: str) -> DataFrame:
     hit = asof.nearest(c, f, "ride_id", "control_id", "frame_id", 100_000).select("control_id", "frame_id", "right_us")
     c = c.join(hit, "control_id")
     v, w = command_speed(F.col("linear"), F.col("angular"), RPM)
-    p = previous(c.withColumn("v", v).withColumn("w", w), ["us", "v", "w"])
+    p = previous(c.withColumn("v", v).withColumn("w", w), ["us", "v", "w"], settle=True)
     rows = p.select("ride_id", "chunk", "us", "control_id", "frame_id", "right_us", ((F.col("us") - F.col("prev.us")) / 1e6).alias("dt"), F.col("prev.v").alias("v"), F.col("prev.w").alias("w"), F.col("prev").isNotNull().alias("_later"))
     track = integrate(rows).where("_later")
     first = F.row_number().over(Window.partitionBy("ride_id", "frame_id").orderBy("us")) == 1

@@ -121,3 +121,18 @@ def test_files(spark, tmp_path):
     assert [(r.path, r.segment_idx, r.uri) for r in files.playlist_segments(lists).collect()] == [("p", 0, "a.ts"), ("p", 1, "b.ts")]
     (tmp_path / "m.csv").write_text("url\nhttp://h/x/y.zip\n")
     assert files.read_manifest(spark, str(tmp_path / "m.csv")).first().file == "y.zip"
+
+
+def test_filter_step_against_matrices():
+    rng = np.random.default_rng(1)
+    r = ekf.FilterRules()
+    st, s, p = ekf.State(r), np.zeros(3), np.eye(3)
+    for v, w, dt, x, y in rng.normal(size=(40, 5)):
+        st.step(v, w, dt, x, y)
+        th = s[2]
+        s = s + [v * np.cos(th) * dt, v * np.sin(th) * dt, w * dt]
+        f = np.array([[1, 0, -v * np.sin(th) * dt], [0, 1, v * np.cos(th) * dt], [0, 0, 1]])
+        p = f @ p @ f.T + r.process * np.eye(3)
+        k = p[:, :2] @ np.linalg.inv(p[:2, :2] + r.measure * np.eye(2))
+        s, p = s + k @ (np.array([x, y]) - s[:2]), p - k @ p[:2]
+        assert np.allclose(st.s, s) and np.allclose(st.p, p[np.triu_indices(3)])
