@@ -30,8 +30,10 @@ INNER = {
     "hi": ["डॉ", "सं", "श्री", "प्रो", "पृ"],
     "ar": ["د", "ص", "رقم"],
 }
-# Short forms that may also be the last word; the sentence goes on if a lower-case letter, a digit or punctuation follows.
-EITHER = ["etc", "no", "sec", "p.m", "a.m", "usw", "u.a", "д", "пр", "др", "е", "к", "μ", "χλμ", "κ.λπ", "κτλ", "π.μ", "μ.μ", "sq", "min", "max", "h", "B"]
+# Short forms that may also be the last word; the sentence goes on if a small letter (of no identifier) or punctuation follows.
+EITHER = ["etc", "p.m", "a.m", "usw", "u.a", "д", "пр", "др", "е", "к", "μ", "χλμ", "κ.λπ", "κτλ", "π.μ", "μ.μ", "sq", "h", "B"]
+# Short forms only before a number; else an ordinary word.
+COUNTED = ["no", "sec", "min", "max"]
 
 
 def _any(words: list[str]) -> str:
@@ -52,7 +54,8 @@ DOT_RULES = [
     r"\.(?=" + BLANK + r")(?<=\p{N}\.)(?<=\n" + _MARK + r"\.)(?<=(?:^|\n)" + BLANK + r"{0,8}\p{N}{1,3}[.\x{E000})]" + BLANK + r"[^\n]{0,150}\n" + _MARK + r"\.)",
     # abbreviations, initials, ordinals of German dates and days
     r"\.(?<=" + _NO_LETTER + "(?:" + _any([w for ws in INNER.values() for w in ws]) + r")\.)(?=" + W + r"*[^\s])",
-    r"\.(?<=" + _NO_LETTER + "(?:" + _any(EITHER) + r")\.)(?=" + W + r"*[\p{Ll}\p{N},;:])",
+    r"\.(?<=" + _NO_LETTER + "(?:" + _any(EITHER) + r")\.)(?=" + W + r"*(?!\p{Ll}+_)[\p{Ll},;:])",
+    r"\.(?=" + W + r"*\p{N})(?<=" + _NO_LETTER + "(?:" + _any(COUNTED) + r")\.)",
     r"\.(?=" + W + r"*\p{Lu})(?<=" + _NO_LETTER + r"\p{Lu}\.)(?<!\p{N}" + W + r"\p{Lu}\.)",
     r"\.(?=" + W + r"+\p{Lu})(?<=\p{N}\.)(?<=(?:[AaIi]m|[Vv]om|[Zz]um|[Bb]eim|[Dd](?:er|en|em|ie|as))" + W + r"\p{N}{1,3}\.)",
 ]

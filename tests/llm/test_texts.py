@@ -96,6 +96,7 @@ CASES = {
     "ล้อหยุดนิ่ง วันนี้แสดงค่า 3.4 เมตร อีกครั้ง": ["ล้อหยุดนิ่ง", "วันนี้แสดงค่า 3.4 เมตร", "อีกครั้ง"],
     "“रुको। हिलो मत।” उसने कहा। डॉ. Orr सं. 5 पर है।": ["“रुको। हिलो मत।” उसने कहा।", "डॉ. Orr सं. 5 पर है।"],
     "هل توقف؟ حسب د. Orr نعم. «قف!» ثم ترك.": ["هل توقف؟", "حسب د. Orr نعم.", "«قف!» ثم ترك."],
+    "It held tyres, fuses, etc. rpm_1 fell, no. 85 etc. 3 km on, at 5 p.m. 12 left.": ["It held tyres, fuses, etc.", "rpm_1 fell, no. 85 etc.", "3 km on, at 5 p.m.", "12 left."],
     "👍🏽 ok? 🚧🚧! Then 5": ["👍🏽 ok? 🚧🚧!", "Then 5"],
 }
 
