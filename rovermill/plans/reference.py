@@ -166,10 +166,10 @@ def k10(spark: SparkSession, d: str) -> DataFrame:
 
 @ref("ref_k13_summary", f"with {CTL}, {FRM} select (select count(distinct ride_id) from rides) as n_rides, (select count(*) from ctl) as n_control, (select count(*) from frm) as n_frames, (select count(distinct traj_id) from traj_data) as n_records")
 def k13(spark: SparkSession, d: str) -> DataFrame:
-    n = lambda df, c: df.agg(F.count(F.lit(1)).alias(c))
-    one = n(table(spark, d, "rides").select("ride_id").distinct(), "n_rides")
-    # one-row sides
-    return one.crossJoin(n(control(spark, d, ()), "n_control")).crossJoin(n(frames(spark, d), "n_frames")).crossJoin(n(table(spark, d, "traj_data").select("traj_id").distinct(), "n_records"))
+    n = lambda df, c: df.agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit(c))
+    parts = [n(table(spark, d, "rides").select("ride_id").distinct(), "n_rides"), n(control(spark, d, ()), "n_control"), n(frames(spark, d), "n_frames"), n(table(spark, d, "traj_data").select("traj_id").distinct(), "n_records")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.agg(*[F.max(F.when(F.col("what") == c, F.col("n"))).alias(c) for c in ("n_rides", "n_control", "n_frames", "n_records")])
 
 
 # --- projections and filters
@@ -559,8 +559,7 @@ def w10(spark: SparkSession, d: str) -> DataFrame:
     s = resample.spacing(q.join(o, ["traj_id", "idx"]))
     mean = s.agg(F.avg(F.when(F.col("straight") & finite(F.col("step_m")) & (F.col("step_m") > 0), F.col("step_m"))).alias("m"))
     k = mean.select(F.greatest(F.lit(1), F.ceil(F.lit(0.75) / F.col("m"))).alias("k"))
-    # one row
-    return resample.by_segment(q.crossJoin(F.broadcast(k)), F.col("k")).select("traj_id", "idx")
+    return resample.by_segment(q.withColumn("k", k.scalar()), F.col("k")).select("traj_id", "idx")
 
 
 def _kernel_sql() -> str:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import sys
 import tempfile
 import uuid
@@ -13,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under spark.checkpoint.dir, which every executor can reach.
 
-    The setting is read from the session. Only where it is unset (local tests) a temporary folder of this
-    machine is made and set.
+    The setting is read from the session; tables written there live as long as that folder. Only where it is unset (local
+    tests) a temporary folder of this machine is made, set, and removed at the end.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="rovermill-")
+        own = tempfile.mkdtemp(prefix="rovermill-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        root = "file://" + own
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
