@@ -720,3 +720,84 @@ def vrpm(spark: SparkSession, d: str) -> DataFrame:
     track = integrate(rows).where("_later")
     first = F.row_number().over(Window.partitionBy("ride_id", "frame_id").orderBy("us")) == 1
     return track.withColumn("_first", first).where("_first").select("ride_id", "control_id", "frame_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round("theta", 3).alias("yaw"), F.col("right_us").alias("frame_us"))
+
+
+# --- the rest of the inventory
+
+
+@ref("ref_g03_counts", f"with {FRM}, {ODO}, f as (select ride_id, count(*) as n_frames from frm group by ride_id), o as (select ride_id, count(*) as n_odom from odo group by ride_id) select coalesce(f.ride_id, o.ride_id) as ride_id, coalesce(n_frames, 0) as n_frames, coalesce(n_odom, 0) as n_odom from f full join o on f.ride_id = o.ride_id")
+def g03(spark: SparkSession, d: str) -> DataFrame:
+    """Frames and odometry rows of every ride that has either."""
+    f = frames(spark, d).groupBy("ride_id").agg(F.count(F.lit(1)).alias("n_frames"))
+    o = odometry(spark, d).groupBy("ride_id").agg(F.count(F.lit(1)).alias("n_odom"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return f.join(o, "ride_id", "full").select("ride_id", zero("n_frames"), zero("n_odom"))
+
+
+@ref("ref_g10_straight_spacing", _V2[: _V2.index("fac as")].rstrip().rstrip(",") + " select round(avg(step) filter (straight and isfinite(step)), 6) as straight_step, round(avg(step) filter (isfinite(step)), 6) as step from st")
+def g10(spark: SparkSession, d: str) -> DataFrame:
+    """Mean spacing on straights and anywhere (a conditional mean)."""
+    s = resample.spacing(_with_commands(spark, d).join(odometry(spark, d).select("traj_id", "idx", "x", "y"), ["traj_id", "idx"])).where(finite(F.col("step_m")))
+    return s.agg(r6(F.avg(F.when(F.col("straight"), F.col("step_m")))).alias("straight_step"), r6(F.avg("step_m")).alias("step"))
+
+
+@ref("ref_g11_mean_pause", "select count(*) as n, round(avg(pause_s), 6) as mean_s from (" + SQL["ref_w07_pauses"] + ")")
+def g11(spark: SparkSession, d: str) -> DataFrame:
+    return w07(spark, d).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pause_s")).alias("mean_s"))
+
+
+@ref("ref_g17_rejects", "select reason, count(*) as n from (" + SQL["ref_k10_rejected"] + ") group by reason")
+def g17(spark: SparkSession, d: str) -> DataFrame:
+    return k10(spark, d).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@ref("ref_f05_tolerance", "select count(*) as n, max(distance_us) as farthest from (" + SQL["ref_a01_nearest_frame"] + ")")
+def f05(spark: SparkSession, d: str) -> DataFrame:
+    """What the tolerance of 0.1 s leaves, its edge included."""
+    return a01(spark, d).agg(F.count(F.lit(1)).alias("n"), F.max("distance_us").alias("farthest"))
+
+
+@ref("ref_f08_unmasked", f"with {FRM}, m as (select ride_id, frame_id from (select *, row_number() over (partition by ride_id, us order by frame_id) as n from frm) where n > 1) select ride_id, frame_id from frm anti join m using (ride_id, frame_id)")
+def f08(spark: SparkSession, d: str) -> DataFrame:
+    """Frames without the masked duplicates (anti join)."""
+    return frames(spark, d).select("ride_id", "frame_id").join(g16(spark, d), ["ride_id", "frame_id"], "left_anti")
+
+
+@ref("ref_f12_convertible", f"select ride_id, count(*) as n, count(*) filter (latitude between -80 and 84 and longitude between -180 and 180) as n_ok from (select distinct gps_id, ride_id, latitude, longitude from gps_data) group by ride_id")
+def f12(spark: SparkSession, d: str) -> DataFrame:
+    """Fixes of every ride and how many of them can be projected."""
+    g = table(spark, d, "gps_data").select("gps_id", "ride_id", "latitude", "longitude").dropDuplicates(["gps_id"])
+    return g.groupBy("ride_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("latitude").between(-80, 84) & F.col("longitude").between(-180, 180)).alias("n_ok"))
+
+
+@ref("ref_a11_kept", _STILL + ", z as (select *, max(idx) over (partition by traj_id) as m from q) select traj_id, idx from z where not (still and idx < m)")
+def a11(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose index is not among the removed ones (anti join)."""
+    return _with_commands(spark, d).select("traj_id", "idx").join(u02(spark, d), ["traj_id", "idx"], "left_anti")
+
+
+@ref("ref_a15_against_mean", f"with {_GOOD}, a as (select avg(step) as m from s), r as (select traj_id, avg(step) as step from s group by traj_id) select traj_id, round(step / m, 4) as ratio from r, a where step is not null")
+def a15(spark: SparkSession, d: str) -> DataFrame:
+    """Each record's mean spacing against the dataset's (a scalar for every row)."""
+    s = _good(spark, d)
+    mean = s.agg(F.avg("step_m").alias("m"))
+    r = s.groupBy("traj_id").agg(F.avg("step_m").alias("step")).where("step is not null")
+    return r.withColumn("m", mean.scalar()).select("traj_id", F.round(F.col("step") / F.col("m"), 4).alias("ratio"))
+
+
+@ref("ref_u01_concatenate", _STILL + " select 'straight' as part, traj_id, idx from q where straight union all select 'rest', traj_id, idx from q where not straight")
+def u01(spark: SparkSession, d: str) -> DataFrame:
+    """Segments of both classes in one table; one pass with a label instead of a union of two."""
+    return _with_commands(spark, d).select(F.when(F.col("straight"), "straight").otherwise("rest").alias("part"), "traj_id", "idx")
+
+
+@ref("ref_w13_prefix", f"with {_GOOD} select traj_id, idx, round(sum(step) over (partition by traj_id order by idx rows between unbounded preceding and current row), 4) as length from s where step is not null")
+def w13(spark: SparkSession, d: str) -> DataFrame:
+    """Length of the path up to each row (a running frame)."""
+    w = resample.by_record().rowsBetween(Window.unboundedPreceding, 0)
+    return _good(spark, d).where("step_m is not null").select("traj_id", "idx", F.round(F.sum("step_m").over(w), 4).alias("length"))
+
+
+@ref("ref_d01_clock", f"with {CTL} select control_id, us // 1000000 as second, us % 1000000 as micro from ctl")
+def d01(spark: SparkSession, d: str) -> DataFrame:
+    return control(spark, d, ()).select("control_id", F.floor(F.col("us") / F.lit(1_000_000)).alias("second"), (F.col("us") % 1_000_000).alias("micro"))
