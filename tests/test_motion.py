@@ -12,7 +12,7 @@ from rovermill.functions import geo
 from rovermill.functions.kinematics import RPM, crop_box, wheel_speed
 from rovermill.operators import ekf, resample, signal
 from rovermill.operators.sequences import chunked, previous
-from rovermill.plans.reference import integrate
+from rovermill.plans.reference import QUERIES, integrate
 from rovermill.sources import files
 from rovermill.sources.video import crop_and_scale
 
@@ -136,3 +136,25 @@ def test_filter_step_against_matrices():
         k = p[:, :2] @ np.linalg.inv(p[:2, :2] + r.measure * np.eye(2))
         s, p = s + k @ (np.array([x, y]) - s[:2]), p - k @ p[:2]
         assert np.allclose(st.s, s) and np.allclose(st.p, p[np.triu_indices(3)])
+
+
+@pytest.mark.parametrize("name", ["ref_w05_integrate", "ref_w05b_wheels"])
+def test_integration_keeps_rows_of_impossible_rpm(spark, tmp_path, name):
+    """Every finite row counts, whatever its rpm_1: against plain loops over three rows a ride."""
+    rows = [(3 * k + i, k, 100.0 + i, 0.5, 0.2, 4e9 if (k, i) == (1, 1) else 30.0, 30.0, 30.0, 30.0) for k in range(2) for i in range(4)]
+    rows = [(n, *r[1:]) for n, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "control_id long, ride_id long, timestamp double, linear double, angular double, rpm_1 double, rpm_2 double, rpm_3 double, rpm_4 double")
+    df.write.parquet(str(tmp_path / "control_data.parquet"))
+    want, wheel = {}, math.pi * RPM.wheel_m / 60.0
+    for ride in range(2):
+        mine, x, y, th = [r for r in rows if r[1] == ride], 0.0, 0.0, 0.0
+        for a, b in zip(mine, mine[1:], strict=False):
+            left, right = (b[5] + b[7]) * wheel, (b[6] + b[8]) * wheel
+            v, w = ((right + left) / 2, (right - left) / RPM.track_m) if name == "ref_w05b_wheels" else (a[3] * RPM.linear_gain, a[4] * RPM.angular_gain)
+            th += w * (b[2] - a[2])
+            x, y = x + v * math.cos(th) * (b[2] - a[2]), y + v * math.sin(th) * (b[2] - a[2])
+            want[b[0]] = (x, y, th)
+    got = {r.control_id: (r.x, r.y, r.theta) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-6, abs=0.01)
