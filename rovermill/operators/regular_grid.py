@@ -2,7 +2,7 @@
 
 Readings are averaged per bucket around each slot. A series between two long gaps is embedded as a Hankel matrix; its
 leading singular vectors give a smooth reconstruction that replaces the missing entries, again and again until they settle.
-Slots of long gaps stay empty and are marked.
+Slots of long gaps stay empty and are marked; so are filled slots whose piece had not settled at the safety limit of rounds.
 """
 
 from __future__ import annotations
@@ -20,11 +20,13 @@ GRID = "traj_id long, ride_id long, slot long, status string, x double, y double
 
 @dataclass(frozen=True)
 class GridRules:
+    """rounds: a safety limit far above what stretches need to settle within tolerance x their size."""
+
     step_us: int = 250_000
     max_gap_us: int = 1_000_000
     window: int = 16
     rank: int = 3
-    rounds: int = 25
+    rounds: int = 10_000
     tolerance: float = 1e-4
     piece: int = 4_096
 
@@ -44,33 +46,40 @@ def hankel_smooth(v: np.ndarray, window: int, rank: int) -> np.ndarray:
     return total / count
 
 
-def impute(v: np.ndarray, r: GridRules) -> np.ndarray:
-    """NaN entries replaced; too short or empty series are filled by lines between the readings (ends held)."""
+def filled(v: np.ndarray, r: GridRules) -> tuple[np.ndarray, bool]:
+    """The series of impute, and whether it settled within the rounds."""
     gap = np.isnan(v)
     if not gap.any() or gap.all():
-        return v
+        return v, True
     at = np.arange(len(v))
     out = v.copy()
     out[gap] = np.interp(at[gap], at[~gap], v[~gap])
     window = min(r.window, len(v) // 2)
     if window <= r.rank:
-        return out
+        return out, True
     mid = out.mean()
     out -= mid
     size = max(float(np.abs(out).max()), 1e-9)
+    settled = False
     for _ in range(r.rounds):
         new = hankel_smooth(out, window, r.rank)[gap]
         moved = float(np.abs(new - out[gap]).max())
         out[gap] = new
         if moved <= r.tolerance * size:
+            settled = True
             break
     out += mid
     out[~gap] = v[~gap]
-    return out
+    return out, settled
+
+
+def impute(v: np.ndarray, r: GridRules) -> np.ndarray:
+    """NaN entries replaced; too short or empty series are filled by lines between the readings (ends held)."""
+    return filled(v, r)[0]
 
 
 def regularise(us: np.ndarray, values: np.ndarray, r: GridRules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """slots, status (0 observed, 1 filled, 2 missing) and values (series x slots) of one record's readings.
+    """slots, status (0 observed, 1 filled, 2 missing, 3 filled but not settled) and values (series x slots) of one record's readings.
 
     A slot strictly between two successive readings more than max_gap_us apart is missing. Equal times are averaged.
     """
@@ -103,7 +112,9 @@ def regularise(us: np.ndarray, values: np.ndarray, r: GridRules) -> tuple[np.nda
         for s in range(lo, hi, r.piece):
             e = min(s + r.piece, hi)
             for k in range(len(values)):
-                grid[k, s:e] = impute(grid[k, s:e], r)
+                grid[k, s:e], settled = filled(grid[k, s:e], r)
+                if not settled:
+                    status[s:e][status[s:e] == 1] = 3
     return slots, status, grid
 
 
@@ -114,7 +125,8 @@ def regular_series(traj: DataFrame, rules: GridRules | None = None) -> DataFrame
     has time, x, y and yaw all present and finite; times in ms are brought to seconds. Repeated traj_id count once. Records
     with null arrays or without readings give no rows; null traj_id is left out.
 
-    Returns traj_id, ride_id, slot (time = slot x step_us since the epoch), status ('observed', 'filled', 'missing'), x, y, yaw (null where
+    Returns traj_id, ride_id, slot (time = slot x step_us since the epoch), status ('observed', 'filled', 'missing', 'unsettled': filled, but the
+    limit of rounds was reached first), x, y, yaw (null where
     missing; yaw unwrapped).
     """
     r = rules or GridRules()
@@ -124,7 +136,7 @@ def regular_series(traj: DataFrame, rules: GridRules | None = None) -> DataFrame
         .dropDuplicates(["traj_id"])
     )
     arrow = pa.schema([("traj_id", pa.int64()), ("ride_id", pa.int64()), ("slot", pa.int64()), ("status", pa.string()), ("x", pa.float64()), ("y", pa.float64()), ("yaw", pa.float64())])
-    names = np.array(["observed", "filled", "missing"], object)
+    names = np.array(["observed", "filled", "missing", "unsettled"], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rovermill.functions.cells import number, read_cell
 from rovermill.operators import compaction as c
 from rovermill.operators import nested
-from rovermill.operators.regular_grid import GridRules, impute, missing_slots, regular_series
+from rovermill.operators.regular_grid import GridRules, filled, hankel_smooth, impute, missing_slots, regular_series
 from rovermill.runtime import shared_dir
 
 REC = "rec_id long, ride_id long, stream string, payload string, timestamp string"
@@ -86,6 +86,28 @@ def test_imputation_beats_lines():
     assert np.isnan(impute(np.full(5, np.nan), GridRules())).all() and impute(np.array([1.0, np.nan, 3.0]), GridRules())[1] == 2.0
 
 
+def test_imputation_settles(spark):
+    """Slow stretches are filled until one more round changes nothing beyond the tolerance; what stops at the limit is marked."""
+    rng = np.random.default_rng(3)
+    series = []
+    for _ in range(200):
+        v = np.cumsum(rng.normal(size=60))
+        v[rng.random(60) < 0.5] = np.nan
+        series.append(v)
+    r = GridRules()
+    for v in series:
+        gap, out = np.isnan(v), impute(v.copy(), r)
+        mid = np.where(gap, np.interp(np.arange(60), np.flatnonzero(~gap), v[~gap]), v).mean()
+        again = hankel_smooth(out - mid, r.window, r.rank)[gap] + mid
+        assert np.abs(again - out[gap]).max() <= 2 * r.tolerance * max(np.abs(out - mid).max(), 1e-9)
+    v = next(v for v in series if not filled(v.copy(), GridRules(rounds=25))[1])
+    t = np.flatnonzero(~np.isnan(v))
+    rows = [(1, 1, [1e9 + 0.25 * int(k) for k in t], [(float(v[k]), 0.0) for k in t], [0.0] * len(t))]
+    df = spark.createDataFrame(rows, "traj_id long, ride_id long, timestamps array<double>, position array<struct<x: double, y: double>>, yaw array<double>")
+    status = lambda n: {x.status for x in regular_series(df, GridRules(rounds=n, max_gap_us=60_000_000)).collect()}
+    assert "unsettled" in status(2) and status(r.rounds) == {"observed", "filled"}
+
+
 CELLS = [
     ("[[1,2,3,4],[5,6,7,8]]", [0, 1]),
     ('[["1","2","3","4"],["1","x","3","4"],[1,2,3],[1,2,null,4],[true,2,3,4],["NaN",2,3,4]]', [0]),
