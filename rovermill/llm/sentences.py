@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DOT, CUT, HELD = "", "", ""
+DOT, CUT, HELD, PARAGRAPH = "", "", "", ""
 
 #: White space in and around sentences, beyond what \s covers; and that within a line.
 W = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
@@ -49,9 +49,8 @@ DOT_RULES = [
     r"\.(?=[\p{Ll}\p{N}_])(?<=[\p{L}\p{M}\p{N}_\-/]\.)",
     r"\.(?=\p{Lu})(?<=[\p{Lu}\p{N}_\-/]\.)",
     r"\.(?=\p{N})",
-    # numbers that head a line of a list or a heading: after a blank line, or after another such line
+    # numbers that head a line of a list or a heading after a blank line (those after another such line: NEXT_NUMBER)
     r"\.(?=" + BLANK + r")(?<=\p{N}\.)(?<=(?:^\n?|\n" + BLANK + r"{0,8}\n)" + _MARK + r"\.)",
-    r"\.(?=" + BLANK + r")(?<=\p{N}\.)(?<=\n" + _MARK + r"\.)(?<=(?:^|\n)" + BLANK + r"{0,8}\p{N}{1,3}[.\x{E000})]" + BLANK + r"[^\n]{0,150}\n" + _MARK + r"\.)",
     # abbreviations, initials, ordinals of German dates and days
     r"\.(?<=" + _NO_LETTER + "(?:" + _any([w for ws in INNER.values() for w in ws]) + r")\.)(?=" + W + r"*[^\s])",
     r"\.(?<=" + _NO_LETTER + "(?:" + _any(EITHER) + r")\.)(?=" + W + r"*(?!\p{Ll}+_)[\p{Ll},;:])",
@@ -59,10 +58,15 @@ DOT_RULES = [
     r"\.(?=" + W + r"*\p{Lu})(?<=" + _NO_LETTER + r"\p{Lu}\.)(?<!\p{N}" + W + r"\p{Lu}\.)",
     r"\.(?=" + W + r"+\p{Lu})(?<=\p{N}\.)(?<=(?:[AaIi]m|[Vv]om|[Zz]um|[Bb]eim|[Dd](?:er|en|em|ie|as))" + W + r"\p{N}{1,3}\.)",
 ]
+#: The number of a line after another numbered line, however long (\G: from the number masked before).
+NEXT_NUMBER = r"((?:(?:^|\n)" + BLANK + r"{0,8}\p{N}{1,3}[.\x{E000})](?=" + BLANK + r")|(?!^)\G)[^\n]*+\n" + _MARK + r")\.(?=" + BLANK + ")"
 OPENING, CLOSING = "“«「『„", "”»」』“"
 #: All of them, as few ranges.
 _QUOTES = r"\x{AB}\x{BB}\x{201C}-\x{201E}\x{300C}-\x{300F}"
 
+#: A mark that closes »so« opens nothing.
+_CLOSED = r"[\p{L}\p{N}.!?…,]«"
+
 
 def masked(text: Column) -> Column:
     """The text with its non-final periods and quoted terminators masked; as long as before, code point by code point."""
@@ -70,11 +74,15 @@ def masked(text: Column) -> Column:
     t = F.translate(t, "\r  \x0b\x0c\x85", "\n" * 6)
     for pattern in DOT_RULES:
         t = F.regexp_replace(t, pattern, DOT)
-    # terminators in quotations, from the opening mark on (\G: from the one masked before); the last one of a quotation
-    # stays if a capital begins the next sentence
-    last = rf"(?![{STOPS}]{{0,3}}{W}?[{CLOSING}]{W}+\p{{Lu}})"
-    to_stop, to_close = rf"[^{_QUOTES}{STOPS}]{{0,200}}+", rf"[^{_QUOTES}]{{0,200}}+"
-    t = F.regexp_replace(t, rf"((?:[{OPENING}]|(?!^)\G){to_stop}){last}[{STOPS}](?={to_close}[{CLOSING}])", "$1" + HELD)
+    t = F.regexp_replace(t, NEXT_NUMBER, "$1" + DOT)
+    # terminators in quotations that close before the next blank line, from the opening mark on (\G: from the one masked
+    # before); the last one of a quotation stays if a capital begins the next sentence
+    t = F.regexp_replace(t, rf"\n(?={BLANK}*+\n)", PARAGRAPH)
+    last = rf"(?![{STOPS}]{{0,3}}{W}?[{CLOSING}](?:{W}|{PARAGRAPH})+\p{{Lu}})"
+    to_stop, to_close = rf"[^{_QUOTES}{STOPS}{PARAGRAPH}]*+", rf"[^{_QUOTES}{PARAGRAPH}]*+"
+    opened = rf"[{OPENING}](?<!{_CLOSED})(?!(?<=“)(?:{W}|[,.;:!?\)]))(?={to_close}[{CLOSING}])"
+    t = F.regexp_replace(t, rf"((?:{opened}|(?!^)\G){to_stop}){last}[{STOPS}]", "$1" + HELD)
+    t = F.translate(t, PARAGRAPH, "\n")
     return t
 
 

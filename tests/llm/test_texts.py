@@ -123,3 +123,22 @@ def test_both_normal_forms(spark, form):
     t = unicodedata.normalize(form, "C.-à-d. trop tard. Véase la pág. 5. Été là.")
     out = [r.sentence for r in sentences(spark.createDataFrame([(1, t)], "doc_id long, text string")).orderBy("sent_idx").collect()]
     assert [unicodedata.normalize("NFC", s) for s in out] == ["C.-à-d. trop tard.", "Véase la pág. 5.", "Été là."]
+
+
+def test_long_quotations_and_list_items(spark):
+    """Neither has a greatest length; a quotation that doesn't close before a blank line holds nothing."""
+    long = "the rover went on and on past every post of the yard " * 40
+    cases = {
+        f"He said “{long}. It stopped. {long},” and left. Then rest.": [f"He said “{long}. It stopped. {long},” and left.", "Then rest."],
+        f"1. {long}end\n2. {long}end\n3. third": [f"1. {long}end", f"2. {long}end", "3. third"],
+        "He said “one. Two.\n\nThree. Four” five.": ["He said “one.", "Two.", "Three.", "Four” five."],
+        "»Halt!«, rief sie. " + "Er ging. " * 60 + "Sie sah »B« an.": ["»Halt!«, rief sie.", *["Er ging."] * 60, "Sie sah »B« an."],
+        "„Halt!“, rief sie. " + "Er ging. " * 60 + "Sie sah “B” an.": ["„Halt!“, rief sie.", *["Er ging."] * 60, "Sie sah “B” an."],
+        "He said “" + "Go on. " * 20_000 + "now,” and left. Then rest.": ["He said “" + "Go on. " * 20_000 + "now,” and left.", "Then rest."],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got: dict = {}
+    for r in sentences(df).orderBy("doc_id", "sent_idx").collect():
+        got.setdefault(r.doc_id, []).append(r.sentence)
+    for i, (text, want) in enumerate(cases.items()):
+        assert got[i] == want, (i, [x[:80] for x in got[i]][:8])
