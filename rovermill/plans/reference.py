@@ -352,9 +352,15 @@ def a13(spark: SparkSession, d: str) -> DataFrame:
     return signal.lagged_correlation(_series(spark, d), "a", "b", (-20, 20)).select("ride_id", "lag", "n", F.round("r", 5).alias("r"))
 
 
+@ref("ref_a13_all_lags", f"with {_SPEED}{_LAGS.replace('range(-20, 20)', 'range(-100, 100)')} select ride_id, lag, n, round(case when va > 1e-9 and vb > 1e-9 then c / sqrt(va * vb) end, 5) as r from t")
+def a13_all(spark: SparkSession, d: str) -> DataFrame:
+    """The same at all 200 lags of the inventory, -100 to 99."""
+    return signal.lagged_correlation(_series(spark, d), "a", "b").select("ride_id", "lag", "n", F.round("r", 5).alias("r"))
+
+
 @ref("ref_e02_alignment")
 def e02(spark: SparkSession, d: str) -> DataFrame:
-    """The lag of greatest correlation among 200, and whether it is above 0.7 (G13). ref_a13_lag_join holds the correlations against SQL."""
+    """The lag of greatest correlation among 200, and whether it is above 0.7 (G13). ref_a13_all_lags holds the correlations against SQL."""
     return signal.best_lag(signal.lagged_correlation(_series(spark, d), "a", "b"))
 
 
@@ -366,6 +372,17 @@ def w15(spark: SparkSession, d: str) -> DataFrame:
     return signal.shifted(s, lags, ["b"], ["a"]).select("ride_id", "seq", r6(F.col("a")).alias("a"), "b")
 
 
+@ref("ref_w15_aligned")
+def w15_aligned(spark: SparkSession, d: str) -> DataFrame:
+    """Every ride's commands with the wheels `lag` rows later, lag being ref_e02's where it is aligned, else 0; seq is the wheels' row.
+
+    These are the pairs whose correlation ref_e02 found greatest. The reference slices the other way round and then drops the result.
+    """
+    rows = numbered(clean_control(spark, d)).select("ride_id", "seq", "control_id", "us", "linear", "angular", *WHEELS)
+    lags = e02(spark, d).select("ride_id", F.when(F.col("aligned"), -F.col("lag")).alias("lag"))
+    return signal.shifted(rows, lags, ["control_id", "us", "linear", "angular"], list(WHEELS))
+
+
 # --- aggregations
 
 

@@ -158,3 +158,23 @@ def test_integration_keeps_rows_of_impossible_rpm(spark, tmp_path, name):
     assert got.keys() == want.keys()
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-6, abs=0.01)
+
+
+def test_all_lags_and_alignment(spark, tmp_path):
+    """200 lags against numpy; a ride whose wheels run 30 rows late is shifted by that, one without relation is kept."""
+    rng = np.random.default_rng(5)
+    b = np.convolve(rng.normal(size=304), np.ones(5) / 5, "valid")
+    late, other = np.r_[rng.normal(size=30) / 9, b[:-30]] * 40, rng.normal(size=300)
+    rows = [(1000 * ride + i, ride, 100.0 + i, float(b[i]), 0.0, *[float(a[i])] * 4) for ride, a in ((1, late), (2, other)) for i in range(300)]
+    df = spark.createDataFrame(rows, "control_id long, ride_id long, timestamp double, linear double, angular double, rpm_1 double, rpm_2 double, rpm_3 double, rpm_4 double")
+    df.write.parquet(str(tmp_path / "control_data.parquet"))
+    got = {(r.ride_id, r.lag): r.r for r in QUERIES["ref_a13_all_lags"](spark, str(tmp_path)).collect()}
+    assert got.keys() == {(k, s) for k in (1, 2) for s in range(-100, 100)}
+    for (k, s), r in got.items():
+        a = late if k == 1 else other
+        x, y = (a[s:], b[: 300 - s]) if s >= 0 else (a[:s], b[-s:])
+        assert r == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-5)
+    out = QUERIES["ref_w15_aligned"](spark, str(tmp_path)).collect()
+    one, two = ([r for r in out if r.ride_id == k] for k in (1, 2))
+    assert len(one) == 270 and all(r.seq == r.control_id - 1000 + 30 and r.rpm_1 == pytest.approx(40 * r.linear) for r in one)
+    assert len(two) == 300 and all(r.seq == r.control_id - 2000 for r in two)
