@@ -183,7 +183,7 @@ def compass_flags(cells: list[np.ndarray], rules: ChartRules) -> np.ndarray:
     ok = ~wrong
     floor = max(rules.compass_dev / 2.5, rules.compass_share * float(np.median(size[ok]))) if ok.any() else 1.0
     wrong |= ew_chart(np.where(ok, size, np.nan), np.full(len(v), floor), ok, rules)
-    # within a cell the heading stays: samples far from the median of their cell and its neighbours
+    # within a cell the heading stays: samples far from the median of their cell, if it has three good ones
     edge = np.r_[0, np.cumsum([len(cells[k]) for k in filled])]
     for q, k in enumerate(filled):
         own = slice(edge[q], edge[q + 1])
@@ -191,6 +191,15 @@ def compass_flags(cells: list[np.ndarray], rules: ChartRules) -> np.ndarray:
         if good.sum() >= 3:
             m = np.median(v[own][good], axis=0)
             wrong[own] |= (np.abs(v[own] - m) > rules.compass_dev).any(axis=1)
+    # cells with fewer: x is upright and doesn't depend on the heading, so it is held against the cells before and after. y and
+    # z are not, as a turn and back again looks the same as a spike there; for them the strength chart alone decides
+    parts = [slice(edge[q], edge[q + 1]) for q in range(len(filled))]
+    mid = [float(np.median(v[own, 0][~wrong[own]])) if (~wrong[own]).any() else None for own in parts]
+    few = [0 < int((~wrong[own]).sum()) < 3 for own in parts]
+    for q, own in enumerate(parts):
+        if few[q] and 0 < q < len(parts) - 1 and mid[q - 1] is not None and mid[q + 1] is not None:
+            lo, hi = min(mid[q - 1], mid[q + 1]), max(mid[q - 1], mid[q + 1])
+            wrong[own] |= (v[own, 0] < lo - rules.compass_dev) | (v[own, 0] > hi + rules.compass_dev)
     out[np.unique(at[wrong])] = True
     # stuck: all samples of successive cells equal; cells without a usable sample don't end the run
     first = np.array([cells[k][0, :3] for k in filled])

@@ -4,7 +4,7 @@ import json
 
 import numpy as np
 
-from rovermill.operators.spikes import compass_spikes, position_spikes, wheel_spikes
+from rovermill.operators.spikes import ChartRules, compass_flags, compass_spikes, position_spikes, wheel_spikes
 
 T0 = 1_325_376_000.0
 CTL = "control_id long, ride_id long, rpm_1 double, rpm_2 double, rpm_3 double, rpm_4 double, timestamp double, own string, us string"
@@ -69,3 +69,11 @@ def test_compass(spark):
     rows = [(i, 1, json.dumps(c)) for i, c in enumerate(cells)] + [(50, 1, None), (51, 1, "[[1,2"), (52, 1, "[]"), (53, None, "[[0,0,0,1]]")]
     got = {r.row_id for r in compass_spikes(spark.createDataFrame(rows, "imu_id long, ride_id long, compass string")).collect()}
     assert got == {10, 12, 20, 21, 22}
+
+
+def test_compass_cells_of_few_samples():
+    """The upright axis of a cell of one or two samples is held against the cells around; a turn and back is no spike."""
+    cell = lambda x, h, n: np.array([[x, 1000 * np.cos(h), 1000 * np.sin(h), k] for k in range(n)]) + np.arange(n)[:, None]
+    cells = [cell(300, 0.3 + 0.01 * i, 1 + i % 2) for i in range(60)]
+    cells[20], cells[41], cells[50] = cell(600, 0.5, 1), cell(20, 0.7, 2), cell(300, 1.5, 1)
+    assert np.flatnonzero(compass_flags(cells, ChartRules())).tolist() == [20, 41]
