@@ -142,3 +142,38 @@ def test_long_quotations_and_list_items(spark):
         got.setdefault(r.doc_id, []).append(r.sentence)
     for i, (text, want) in enumerate(cases.items()):
         assert got[i] == want, (i, [x[:80] for x in got[i]][:8])
+
+
+def spans(spark, *texts):
+    rows = sentences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    out = [[] for _ in texts]
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.sent_idx)):
+        assert texts[r.doc_id][r.sent_start : r.sent_end] == r.sentence
+        out[r.doc_id].append(r.sentence)
+    return out
+
+
+def test_texts_that_hold_the_marks(spark):
+    marks = ["\ue000", "\ue001", "\ue002", "\ue003"]
+    got = spans(spark, *[f"Go on. The icon {m} is here. End {m}{m} it now." for m in marks])
+    assert got == [["Go on.", f"The icon {m} is here.", f"End {m}{m} it now."] for m in marks]
+
+
+def test_long_quotations_and_lists(spark):
+    quoted = "He said “" + "It is so. " * 500 + "yes” and left."
+    items = [f"{k}. " + "a long way " * 200 for k in range(1, 4)]
+    got = spans(spark, quoted + " Then more.", "\n\n" + "\n".join(items), "\n" + " " * 40 + "\n" + " " * 30 + "1. First")
+    assert got[0] == [quoted, "Then more."]
+    assert got[1] == [i.strip() for i in items] and got[2] == ["1. First"]
+
+
+def test_further_scripts(spark):
+    got = spans(spark, "Բարեւ։ Լավ։", "ሰላም። ደህና።", "မင်္ဂလာပါ။နေကောင်းလား။", "សួស្តី។ អ្នក។", "བཀྲ་ཤིས། བདེ་ལེགས།", "Πού; Εδώ " + "α" * 100 + "; Ναι.", "Il sig. Rossi arriva. Fine.")
+    assert [len(g) for g in got] == [2, 2, 2, 2, 2, 3, 2]
+
+
+def test_many_sentences_cost_in_proportion(spark):
+    """Blocks of a fold: offsets and texts right across many of them."""
+    n = 5_000
+    got = spans(spark, "".join(f"Run {k} is over. " for k in range(n)))
+    assert got[0] == [f"Run {k} is over." for k in range(n)]
