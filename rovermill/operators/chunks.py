@@ -29,11 +29,12 @@ def numpy_of(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return col.to_numpy(zero_copy_only=False) if isinstance(col, pa.Array) else col.to_numpy()
 
 
-def map_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[dict, Arrays], Arrays | None], schema: str | StructType, flush_rows: int = 20_000) -> DataFrame:
+def map_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[dict, Arrays], Arrays | None], schema: str | StructType, flush_rows: int = 20_000, clustered: bool = False) -> DataFrame:
     """fn over every group of keys, its rows in order; fn returns columns of equal length, or None.
 
     The rows are hashed and sorted by Spark (both spill); a task holds one group and the current Arrow batch. Keys must not
-    be null. Adaptive execution may join small partitions, but never splits a group.
+    be null. Adaptive execution may join small partitions, but never splits a group. clustered: df is hashed by some of the keys already, as by
+    the windows that made it, so it is only sorted.
     """
     out = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     arrow = to_arrow_schema(out)
@@ -87,7 +88,7 @@ def map_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[d
         if parts:
             yield flush()
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, out)
+    return (df if clustered else df.repartition(*keys)).sortWithinPartitions(*keys, *order).mapInArrow(run, out)
 
 
 def first_of_key(ids: np.ndarray) -> np.ndarray:
