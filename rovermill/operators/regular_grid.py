@@ -2,7 +2,9 @@
 
 Readings are averaged per bucket around each slot. A series between two long gaps is embedded as a Hankel matrix; its
 leading singular vectors give a smooth reconstruction that replaces the missing entries, again and again until they settle.
-Slots of long gaps stay empty and are marked; so are filled slots whose piece had not settled at the safety limit of rounds.
+For given vectors the entries that such replacing would end at solve a linear system, so each round goes there at once, then
+takes the vectors anew. Slots of long gaps stay empty and are marked; so are filled slots of a stretch that had not settled at
+the safety limit of rounds. A stretch is one series, whatever its length: a round costs in proportion to it.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ GRID = "traj_id long, ride_id long, slot long, status string, x double, y double
 
 @dataclass(frozen=True)
 class GridRules:
-    """rounds: a safety limit far above what stretches need to settle within tolerance x their size."""
+    """rounds: a safety limit far above what stretches need to settle within tolerance x their size. dense: missing entries up to which the system is solved directly, beyond by conjugate gradients."""
 
     step_us: int = 250_000
     max_gap_us: int = 1_000_000
@@ -28,22 +30,90 @@ class GridRules:
     rank: int = 3
     rounds: int = 10_000
     tolerance: float = 1e-4
-    piece: int = 4_096
+    dense: int = 600
 
 
-def hankel_smooth(v: np.ndarray, window: int, rank: int) -> np.ndarray:
-    """Rank-limited reconstruction of a series: Hankel embedding, leading singular vectors, diagonal averages."""
-    n = len(v)
-    k = n - window + 1
+def leading(v: np.ndarray, window: int, rank: int) -> np.ndarray:
+    """The leading right singular vectors of the series' Hankel matrix."""
     h = np.lib.stride_tricks.sliding_window_view(v, window)
-    _, vec = np.linalg.eigh(h.T @ h)
-    lead = vec[:, -rank:]
-    low = (h @ lead) @ lead.T
-    total, count = np.zeros(n), np.zeros(n)
+    return np.linalg.eigh(h.T @ h)[1][:, -rank:]
+
+
+def smoothed(v: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """The series after projecting its Hankel matrix on lead: diagonal averages."""
+    window, n = len(lead), len(v)
+    k = n - window + 1
+    low = ((np.lib.stride_tricks.sliding_window_view(v, window) @ lead) @ lead.T).T
+    total = np.zeros(n)
     for j in range(window):
-        total[j : j + k] += low[:, j]
-        count[j : j + k] += 1
-    return total / count
+        total[j : j + k] += low[j]
+    return total / copies(n, window)
+
+
+def hankel_smooth(v: np.ndarray, window: int, rank: int) -> np.ndarray:
+    """Rank-limited reconstruction of a series: Hankel embedding, leading singular vectors, diagonal averages."""
+    return smoothed(v, leading(v, window, rank))
+
+
+def copies(n: int, window: int) -> np.ndarray:
+    """How often each entry of a series stands in its Hankel matrix."""
+    i = np.arange(n)
+    return np.minimum(np.minimum(i, n - 1 - i) + 1, min(window, n - window + 1))
+
+
+class Settled:
+    """The missing entries at which replacing them, with the same singular vectors, changes nothing any more.
+
+    Replacing gives smoothed(v); it changes nothing where copies x (v - smoothed(v)) is 0 at every missing entry, a symmetric system.
+    """
+
+    def __init__(self, gap: np.ndarray, window: int, dense: int) -> None:
+        n = len(gap)
+        self.gap, self.window, self.weight = gap, window, copies(n, window)
+        at = np.flatnonzero(gap)
+        self.direct = len(at) <= dense
+        if not self.direct:
+            return
+        # entry (i, i + d) of the projection summed over its copies: a stretch of diagonal d, by sums from its start on
+        row, col = np.nonzero(np.abs(at[:, None] - at[None, :]) < window)
+        i, d = np.minimum(at[row], at[col]), np.abs(at[row] - at[col])
+        self.place, self.size = (row, col), len(at)
+        self.to = d, np.minimum(i, window - 1 - d) + 1
+        self.since = d, np.maximum(0, i - (n - window))
+        self.own = np.where(d == 0, self.weight[i] * (1 + 1e-12), 0.0)
+        j = np.arange(window)
+        self.skew = np.minimum(j[None, :] + j[:, None], window), j[None, :]
+
+    def __call__(self, v: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        gap, weight = self.gap, self.weight
+        right = (weight * smoothed(np.where(gap, 0.0, v), lead))[gap]
+        if self.direct:
+            p = np.zeros((self.window + 1, self.window))
+            p[:-1] = lead @ lead.T
+            sums = np.zeros((self.window, self.window + 1))
+            np.cumsum(p[self.skew], axis=1, out=sums[:, 1:])
+            m = np.zeros((self.size, self.size))
+            m[self.place] = self.own - (sums[self.to] - sums[self.since])
+            return np.linalg.solve(m, right)
+        full = np.zeros(len(v))
+
+        def product(x: np.ndarray) -> np.ndarray:
+            full[gap] = x
+            return (weight * (full - smoothed(full, lead)))[gap]
+
+        x = v[gap]
+        r = right - product(x)
+        p, rr = r.copy(), float(r @ r)
+        least = 1e-20 * max(float(right @ right), 1e-300)
+        for _ in range(2 * len(x)):
+            if rr <= least:
+                break
+            q = product(p)
+            step = rr / float(p @ q)
+            x, r = x + step * p, r - step * q
+            rr, old = float(r @ r), rr
+            p = r + rr / old * p
+        return x
 
 
 def filled(v: np.ndarray, r: GridRules) -> tuple[np.ndarray, bool]:
@@ -55,26 +125,26 @@ def filled(v: np.ndarray, r: GridRules) -> tuple[np.ndarray, bool]:
     out = v.copy()
     out[gap] = np.interp(at[gap], at[~gap], v[~gap])
     window = min(r.window, len(v) // 2)
-    if window <= r.rank:
+    rank = min(r.rank, window - 1)
+    if rank < 1:
         return out, True
     mid = out.mean()
     out -= mid
     size = max(float(np.abs(out).max()), 1e-9)
-    settled = False
+    settled, settle = False, Settled(gap, window, r.dense)
     for _ in range(r.rounds):
-        new = hankel_smooth(out, window, r.rank)[gap]
-        moved = float(np.abs(new - out[gap]).max())
-        out[gap] = new
-        if moved <= r.tolerance * size:
+        lead = leading(out, window, rank)
+        if np.abs(smoothed(out, lead)[gap] - out[gap]).max() <= r.tolerance * size:
             settled = True
             break
+        out[gap] = settle(out, lead)
     out += mid
     out[~gap] = v[~gap]
     return out, settled
 
 
 def impute(v: np.ndarray, r: GridRules) -> np.ndarray:
-    """NaN entries replaced; too short or empty series are filled by lines between the readings (ends held)."""
+    """NaN entries replaced; a series of three or fewer, which has no Hankel matrix to truncate, is filled by lines between the readings (ends held)."""
     return filled(v, r)[0]
 
 
@@ -104,17 +174,15 @@ def regularise(us: np.ndarray, values: np.ndarray, r: GridRules) -> tuple[np.nda
         grid[k, has] = np.bincount(bucket[inside], weights=v[inside], minlength=len(slots))[has] / count[has]
     grid[:, missing] = np.nan
     status = np.where(missing, 2, np.where(has, 0, 1)).astype(np.int8)
-    # the stretches between long gaps are filled each by itself, in pieces of bounded length
+    # the stretches between long gaps are filled each by itself
     edges = np.flatnonzero(np.diff(missing.astype(np.int8))) + 1
     for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(slots)], strict=True):
         if missing[lo]:
             continue
-        for s in range(lo, hi, r.piece):
-            e = min(s + r.piece, hi)
-            for k in range(len(values)):
-                grid[k, s:e], settled = filled(grid[k, s:e], r)
-                if not settled:
-                    status[s:e][status[s:e] == 1] = 3
+        for k in range(len(values)):
+            grid[k, lo:hi], settled = filled(grid[k, lo:hi], r)
+            if not settled:
+                status[lo:hi][status[lo:hi] == 1] = 3
     return slots, status, grid
 
 
