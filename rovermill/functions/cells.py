@@ -44,102 +44,126 @@ def number(v: object) -> float:
 FIELDS = ("x", "y", "z", "timestamp")
 
 
+def deep(v: object) -> bool:
+    return isinstance(v, (list, dict))
+
+
+KINDS = ("cell", "array", "object", "sample", "field")
+CELL, ARRAY, OBJECT, SAMPLE, FIELD = range(5)
+
+
 @dataclass
 class Tree:
-    """Node tables of one cell, by type. pre and post number all nodes of the cell; a contains b if a.pre < b.pre and b.post < a.post."""
+    """Nodes of one cell by type. pre and post number them all; a contains b if a.pre < b.pre and b.post < a.post.
 
-    batches: list[tuple] = field(default_factory=list)  # pre, post, batch_idx, unit
-    samples: list[tuple] = field(default_factory=list)  # pre, post, sample_idx, x, y, z, timestamp, temp
+    samples: (pre, post, idx, x, y, z, timestamp, temp); others, unless only samples are wanted: (kind, pre, post, idx, name, value).
+    An object's unit is its name, a field's text is its value. idx counts the nodes of a type in reading order.
+    """
+
+    full: bool = True
+    samples: list[tuple] = field(default_factory=list)
+    others: list[tuple] = field(default_factory=list)
     pre: int = 0
     post: int = 0
+    counts: list[int] = field(default_factory=lambda: [0] * len(KINDS))
 
-    def _in(self) -> int:
+    def _in(self, kind: int) -> tuple[int, int]:
         self.pre += 1
-        return self.pre - 1
+        self.counts[kind] += 1
+        return self.pre - 1, self.counts[kind] - 1
 
-    def _out(self) -> int:
+    def _out(self, kind: int, at: tuple[int, int], name: str | None = None, value: str | None = None) -> None:
         self.post += 1
-        return self.post - 1
-
-    def leaf(self) -> None:
-        self._in()
-        self._out()
+        if self.full:
+            self.others.append((kind, at[0], self.post - 1, at[1], name, value))
+
+    def bare(self, name: str | None, v: object) -> None:
+        """A value that is no node with content: a field of its object, or an entry that cannot be used."""
+        self._out(FIELD, self._in(FIELD), name, None if v is None else v if isinstance(v, str) else json.dumps(v))
+
+    def sample(self, values: list, fields: list[tuple[str | None, object]], temp: float) -> None:
+        at, idx = self._in(SAMPLE)
+        for name, v in fields:
+            if deep(v) and v:
+                self.inside(name, v)
+            else:
+                self.bare(name, v)
+        self.post += 1
+        self.samples.append((at, self.post - 1, idx, *(number(v) for v in values), temp))
+
+    def inside(self, name: str | None, v: list | dict) -> None:
+        """What a sample holds beyond its fields: nodes without samples of their own."""
+        kind = ARRAY if isinstance(v, list) else OBJECT
+        at = self._in(kind)
+        for k, q in enumerate(v) if kind == ARRAY else v.items():
+            key = None if kind == ARRAY else k
+            if deep(q) and q:
+                self.inside(key, q)
+            else:
+                self.bare(key, q)
+        self._out(kind, at, name)
 
-    def sample(self, values: list, extra: int, temp: float) -> None:
-        at = self._in()
-        for _ in range(extra):
-            self.leaf()
-        self.samples.append((at, self._out(), len(self.samples), *(number(v) for v in values), temp))
+    def walk(self, v: object, name: str | None = None) -> None:
+        """Depth first. A list of bare values is a sample, and so is an object with x, y or z, or without any list or object in it.
 
-    def walk(self, v: object) -> None:
-        """Depth first: a list of scalars or an object with sample fields is a sample; other lists and objects are inner nodes."""
+        Any other list or object is an inner node, at any depth. An object's samples are in `samples` or `batches`; where it has
+        neither, in whatever holds lists, objects or a sample's fields. Its other fields have none.
+        """
         if isinstance(v, list):
-            if v and not any(isinstance(q, (list, dict)) for q in v):
-                self.sample([*v[:4], *[None] * (4 - len(v))][:4], len(v), math.nan)
+            if v and not any(deep(q) for q in v):
+                self.sample([*v[:4], *[None] * (4 - len(v))][:4], [(None, q) for q in v[4:]], math.nan)
                 return
-            at = self._in()
-            for q in v:
-                if isinstance(q, (list, dict)):
-                    self.walk(q)
-                else:
-                    # a bare value among samples is a sample that cannot be used
-                    self.sample([None] * 4, 0, math.nan)
-            self._out()
+            self.array(v, name)
         elif isinstance(v, dict):
-            if "samples" not in v and "batches" not in v:
-                self.sample([v.get(k) for k in FIELDS], len(v), number(v.get("temp")))
+            named = "samples" in v or "batches" in v
+            if not named and (any(k in v for k in "xyz") or not any(map(deep, v.values()))):
+                self.sample([v.get(k) for k in FIELDS], [(k, q) for k, q in v.items() if k not in FIELDS], number(v.get("temp")))
                 return
-            at = self._in()
+            at = self._in(OBJECT)
             unit = v.get("unit")
-            place = len(self.batches)
-            if "samples" in v:
-                self.batches.append(())
             for k, q in v.items():
-                if k in ("samples", "batches"):
-                    if isinstance(q, (list, dict)) and q:
-                        self.inner(q)
-                    else:
-                        self.leaf()
+                content = k in ("samples", "batches") if named else deep(q) and (any(map(deep, q)) if isinstance(q, list) else any(map(deep, q.values())) or any(f in q for f in FIELDS))
+                if content and isinstance(q, dict):
+                    self.walk(q, k)
+                elif content and isinstance(q, list):
+                    self.array(q, k)
+                elif deep(q) and q:
+                    self.inside(k, q)
                 else:
-                    self.leaf()
-            if "samples" in v:
-                self.batches[place] = (at, self._out(), place, unit if isinstance(unit, str) else None)
-            else:
-                self._out()
-
-    def inner(self, v: list | dict) -> None:
-        """The content of samples or batches: a list is always an inner node here, also a list of bare values."""
-        if isinstance(v, dict):
-            self.walk(v)
-            return
-        self._in()
+                    self.bare(k, q)
+            self._out(OBJECT, at, unit if isinstance(unit, str) else None)
+
+    def array(self, v: list, name: str | None = None) -> None:
+        """An inner list: a bare value in it is a sample that cannot be used, an empty list is none."""
+        at = self._in(ARRAY)
         for q in v:
-            if isinstance(q, (list, dict)):
-                if q or isinstance(q, dict):
-                    self.walk(q)
-                else:
-                    self.leaf()
+            if isinstance(q, list) and not q:
+                self.array(q)
+            elif deep(q):
+                self.walk(q)
             else:
-                self.sample([None] * 4, 0, math.nan)
-        self._out()
+                self.sample([None] * 4, [], math.nan)
+        self._out(ARRAY, at, name)
 
 
-def read_cell(cell: str | None) -> Tree | None:
-    """The node tables of a cell; None if the cell cannot be read. Empty arrays are inner nodes, not samples."""
+def read_cell(cell: str | None, full: bool = True) -> Tree | None:
+    """The nodes of a cell; None if the cell cannot be read. Empty arrays are inner nodes, not samples."""
     ok, v = load(cell)
     if not ok:
         return None
-    t = Tree()
-    if isinstance(v, list) and v and any(not isinstance(q, (list, dict)) for q in v) and any(isinstance(q, (list, dict)) for q in v):
-        t.inner(v)
-    elif isinstance(v, (list, dict)) and v:
+    t = Tree(full)
+    at = t._in(CELL)
+    if isinstance(v, list) and v and any(not deep(q) for q in v) and any(deep(q) for q in v):
+        t.array(v)
+    elif deep(v) and v:
         t.walk(v)
+    t._out(CELL, at)
     return t
 
 
 def samples_of(cell: str | None) -> list[tuple[float, float, float, float]]:
     """x, y, z, timestamp of the usable samples of a cell, in reading order."""
-    t = read_cell(cell)
+    t = read_cell(cell, full=False)
     if t is None:
         return []
     return [s[3:7] for s in t.samples if all(v == v for v in s[3:7])]

@@ -1,8 +1,9 @@
 """Many tiny files into few well-sized ones, holding every distinct record once.
 
-Records are range-partitioned by their clustering keys (Spark samples the boundaries), the number of ranges follows from the
-bytes to write and the target size, each range is written sorted. Counts and an order-free checksum of what was written are
-held against the input before the new folder takes the place of the old one.
+The records are derived once, into a table of the shared folder, while their count and an order-free checksum are observed. That
+table is range-partitioned by the clustering keys (Spark samples the boundaries); the number of ranges follows from the bytes it
+takes and the target size, and each range is written sorted. Count and checksum of what was written are held against the observed
+ones before the new folder takes the place of the old one.
 """
 
 from __future__ import annotations
@@ -10,12 +11,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rovermill.functions.timeline import micros
+from rovermill.runtime import shared_dir
 
 TARGET_BYTES = 128 * 1024 * 1024
+#: Below the target a table is still written by all cores at once, as long as no file gets smaller than this.
+LEAST_BYTES = 64 * 1024
 
 
 class ReconcileError(RuntimeError):
@@ -35,13 +39,24 @@ def _fs(spark: SparkSession, path: str):  # noqa: ANN202
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends a swap that a crash cut short: where path is gone, path.old is renamed back; where both exist, path.old is the remains of a finished swap."""
+    fs, at = _fs(spark, path)
+    _, old = _fs(spark, path + ".old")
+    if not fs.exists(old):
+        return
+    if fs.exists(at):
+        fs.delete(old, True)
+    elif not fs.rename(old, at):
+        raise OSError(f"cannot move {path}.old back")
+
+
 def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """staged takes the place of path: two renames, and a removal of the old folder at the end. A crash between them leaves path.old to be renamed back."""
+    """staged takes the place of path: two renames, and a removal of the old folder at the end. What a crash between them leaves, recover mends, as does the next swap."""
+    recover(spark, path)
     fs, new = _fs(spark, staged)
     _, at = _fs(spark, path)
     _, old = _fs(spark, path + ".old")
-    if fs.exists(old):
-        fs.delete(old, True)
     had = fs.exists(at)
     if had and not fs.rename(at, old):
         raise OSError(f"cannot move {path} aside")
@@ -58,23 +73,29 @@ def checksum(df: DataFrame) -> tuple[Column, Column]:
     return F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.xxhash64(*df.columns).cast("decimal(38,0)"))), F.lit(0)).alias("h")
 
 
-def compact(df: DataFrame, keys: list[str], path: str, target_bytes: int = TARGET_BYTES, row_bytes: Column | None = None) -> Compacted:
+def compact(df: DataFrame, keys: list[str], path: str, target_bytes: int = TARGET_BYTES, least_bytes: int = LEAST_BYTES) -> Compacted:
     """Writes df, sorted and range-partitioned by keys, in files of about target_bytes, and swaps it into path.
 
-    row_bytes: bytes a row takes (default 8 a column). Every row is written exactly once, or ReconcileError is raised and
-    path stays as it was. An empty frame gives one empty file. Null keys sort first.
+    df is evaluated once. Every row is written exactly once, or ReconcileError is raised and path stays as it was. An empty frame
+    gives an empty folder of its schema. Null keys sort first.
     """
     spark = df.sparkSession
-    size = F.coalesce(F.sum(row_bytes if row_bytes is not None else F.lit(8 * len(df.columns))), F.lit(0)).cast("double").alias("b")
-    before = df.agg(*checksum(df), size).first()
-    files = max(1, math.ceil(before["b"] / target_bytes))
+    seen = Observation()
+    once = shared_dir(spark, "distinct")
+    df.observe(seen, *checksum(df)).write.parquet(once)
+    before = seen.get
+    fs, folder = _fs(spark, once)
+    size = fs.getContentSummary(folder).getLength()
+    files = max(1, math.ceil(size / target_bytes), min(spark.sparkContext.defaultParallelism, size // least_bytes))
     staged = path.rstrip("/") + ".staged"
-    df.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(once)
+    rows.repartitionByRange(files, *keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(staged)
     back = spark.read.schema(df.schema).parquet(staged)
     after = back.agg(*checksum(back)).first()
     if (before["n"], before["h"]) != (after["n"], after["h"]):
         raise ReconcileError(f"{before['n']} rows read, {after['n']} written to {staged}")
     swap(spark, staged, path)
+    fs.delete(folder, True)
     return Compacted(path, int(after["n"]), files)
 
 
@@ -103,7 +124,7 @@ def distinct_records(recordings: DataFrame) -> DataFrame:
 
 def compact_recordings(recordings: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> Compacted:
     """The distinct records of all recordings, clustered by ride, stream and time."""
-    return compact(distinct_records(recordings), ["ride_id", "stream", "timestamp", "frame_id"], path, target_bytes, F.lit(40) + 8 * F.size("rec_ids"))
+    return compact(distinct_records(recordings), ["ride_id", "stream", "timestamp", "frame_id"], path, target_bytes)
 
 
 def shared_files(records: DataFrame) -> DataFrame:
@@ -116,10 +137,14 @@ def shared_files(records: DataFrame) -> DataFrame:
     return sets.select(pair.alias("p")).select("p.rec_id_a", "p.rec_id_b").distinct()
 
 
+def shared_members(records: DataFrame) -> DataFrame:
+    """first, rec_id: every file that shares a record with others, beside the first file of each such set (itself included). Links in proportion to the files, where shared_files gives every pair."""
+    sets = records.where(F.size("rec_ids") > 1).select("rec_ids").distinct()
+    return sets.select(F.get("rec_ids", F.lit(0)).alias("first"), F.explode("rec_ids").alias("rec_id")).distinct()
+
+
 def compact_trajectories(traj: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> Compacted:
     """Every trajectory record once (by traj_id), clustered by ride and start."""
     one = traj.where("traj_id is not null").dropDuplicates(["traj_id"])
     start = F.array_min(F.transform("timestamps", micros))
-    arrays = [f.name for f in traj.schema.fields if f.dataType.typeName() == "array"]
-    size = F.lit(64) + sum((8 * F.greatest(F.size(a), F.lit(0)) for a in arrays), F.lit(0))
-    return compact(one.withColumn("start_us", start), ["ride_id", "start_us", "traj_id"], path, target_bytes, size)
+    return compact(one.withColumn("start_us", start), ["ride_id", "start_us", "traj_id"], path, target_bytes)

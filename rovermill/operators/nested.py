@@ -12,10 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rovermill.functions.cells import read_cell
+from rovermill.functions.cells import KINDS, SAMPLE, read_cell
+from rovermill.runtime import cut
 
 SENSORS = ("compass", "accelerometer", "gyroscope")
-NODES = "imu_id long, ride_id long, sensor string, kind string, pre long, post long, idx long, x double, y double, z double, timestamp double, temp double, unit string"
+NODES = "imu_id long, ride_id long, sensor string, kind string, pre long, post long, idx long, x double, y double, z double, timestamp double, temp double, name string, value string"
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
@@ -23,57 +24,63 @@ def one_per_key(df: DataFrame, key: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).dropDuplicates([key])
 
 
-def cell_nodes(imu: DataFrame) -> DataFrame:
-    """All batch and sample nodes of the cells of imu (imu_id, ride_id, compass, accelerometer, gyroscope; other columns are ignored).
+def cell_nodes(imu: DataFrame, full: bool = True) -> DataFrame:
+    """All nodes of the cells of imu (imu_id, ride_id, compass, accelerometer, gyroscope; other columns are ignored), or the samples alone.
 
-    kind is 'cell' (the root of a readable cell), 'batch' or 'sample'. Cells that are null or not valid JSON give no node. x, y,
-    z and timestamp are null where missing or no finite number. Repeated imu_id count once, rows with a null imu_id not at all.
+    kind is 'cell' (the root of a readable cell), 'array', 'object', 'sample' or 'field' (a value beside a sample's own four: name and text).
+    Cells that are null or not valid JSON give no node. x, y, z and timestamp are null where missing or no finite number. The
+    name of an object is its unit, if it has one. Repeated imu_id count once, rows with a null imu_id not at all.
     """
-    arrow = pa.schema([("imu_id", pa.int64()), ("ride_id", pa.int64()), ("sensor", pa.string()), ("kind", pa.string()), ("pre", pa.int64()), ("post", pa.int64()), ("idx", pa.int64()), ("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64()), ("timestamp", pa.float64()), ("temp", pa.float64()), ("unit", pa.string())])
-    sensors = SENSORS
+    arrow = pa.schema([("imu_id", pa.int64()), ("ride_id", pa.int64()), ("sensor", pa.string()), ("kind", pa.string()), ("pre", pa.int64()), ("post", pa.int64()), ("idx", pa.int64()), ("x", pa.float64()), ("y", pa.float64()), ("z", pa.float64()), ("timestamp", pa.float64()), ("temp", pa.float64()), ("name", pa.string()), ("value", pa.string())])
+    sensors, kinds, sample = SENSORS, KINDS, KINDS[SAMPLE]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols: list[list] = [[] for _ in arrow]
-        put = [c.append for c in cols]
+        rows: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
+            cols = list(zip(*rows, strict=True))
             b = pa.RecordBatch.from_arrays([pa.array(c, type=f.type, from_pandas=True) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
-            for c in cols:
-                c.clear()
+            rows.clear()
             return b
 
         for b in batches:
             d = {n: b.column(b.schema.get_field_index(n)).to_pylist() for n in ("imu_id", "ride_id", *sensors)}
             for r, (imu_id, ride_id) in enumerate(zip(d["imu_id"], d["ride_id"], strict=True)):
                 for sensor in sensors:
-                    t = read_cell(d[sensor][r])
+                    t = read_cell(d[sensor][r], full)
                     if t is None:
                         continue
-                    nan = float("nan")
-                    rows = [("cell", -1, t.post, 0, nan, nan, nan, nan, nan, None)]
-                    rows += [("batch", q[0], q[1], q[2], nan, nan, nan, nan, nan, q[3]) for q in t.batches]
-                    rows += [("sample", *q, None) for q in t.samples]
-                    for row in rows:
-                        for p, v in zip(put, (imu_id, ride_id, sensor, *row), strict=True):
-                            p(v)
-                if len(cols[0]) >= 20_000:
+                    rows += [(imu_id, ride_id, sensor, sample, *q, None, None) for q in t.samples]
+                    rows += [(imu_id, ride_id, sensor, kinds[q[0]], q[1], q[2], q[3], None, None, None, None, None, q[4], q[5]) for q in t.others]
+                if len(rows) >= 20_000:
                     yield flush()
-        if cols[0]:
+        if rows:
             yield flush()
 
-    rows = imu.select("imu_id", "ride_id", *SENSORS)
-    return one_per_key(rows, "imu_id").mapInArrow(run, NODES)
+    return one_per_key(imu.select("imu_id", "ride_id", *SENSORS), "imu_id").mapInArrow(run, NODES)
+
+
+def node_tables(imu: DataFrame) -> dict[str, DataFrame]:
+    """A table per node type, from one walk: imu_id, ride_id, sensor, pre, post, idx and the type's own columns."""
+    nodes = cut(cell_nodes(imu), "nodes")
+    own = {"cell": [], "array": ["name"], "object": [F.col("name").alias("unit")], "sample": ["x", "y", "z", "timestamp", "temp"], "field": ["name", "value"]}
+    return {k: nodes.where(F.col("kind") == k).select("imu_id", "ride_id", "sensor", "pre", "post", "idx", *cols) for k, cols in own.items()}
 
 
 def sample_table(imu: DataFrame) -> DataFrame:
     """The flat table of usable samples: imu_id, ride_id, sensor, sample_idx, pre, post, x, y, z, timestamp, temp."""
     ok = " and ".join(f"{c} is not null" for c in ("x", "y", "z", "timestamp"))
-    return cell_nodes(imu).where(f"kind = 'sample' and {ok}").select("imu_id", "ride_id", "sensor", F.col("idx").alias("sample_idx"), "pre", "post", "x", "y", "z", "timestamp", "temp")
+    return cell_nodes(imu, full=False).where(ok).select("imu_id", "ride_id", "sensor", F.col("idx").alias("sample_idx"), "pre", "post", "x", "y", "z", "timestamp", "temp")
 
 
-def contained(nodes: DataFrame) -> DataFrame:
-    """Each sample with the batch that contains it, by interval containment (null where the cell has no batches)."""
-    s = nodes.where("kind = 'sample'").select("imu_id", "sensor", F.col("idx").alias("sample_idx"), "pre", "post")
-    b = nodes.where("kind = 'batch'").select("imu_id", "sensor", F.col("idx").alias("batch_idx"), F.col("pre").alias("b_pre"), F.col("post").alias("b_post"), "unit")
-    on = [s.imu_id == b.imu_id, s.sensor == b.sensor, b.b_pre < s.pre, s.post < b.b_post]
-    return s.join(b, on, "left").select(s.imu_id, s.sensor, "sample_idx", "batch_idx", "unit")
+def innermost(inner: DataFrame, outer: DataFrame, keep: dict[str, str], take: dict[str, str]) -> DataFrame:
+    """Each node of inner with the innermost node of outer that contains it, by interval containment; null where none does.
+
+    keep and take: columns of inner and of outer with their names in the result, beside imu_id and sensor. Pairs are built within a cell only.
+    """
+    a = inner.select("imu_id", "sensor", "pre", "post", *[F.col(c).alias(n) for c, n in keep.items()])
+    b = outer.select("imu_id", "sensor", F.struct(F.col("pre").alias("o_pre"), F.col("post").alias("o_post"), *[F.col(c).alias(n) for c, n in take.items()]).alias("o"))
+    on = [a.imu_id == b.imu_id, a.sensor == b.sensor, b.o.o_pre < a.pre, a.post < b.o.o_post]
+    pairs = a.join(b, on, "left").select(a.imu_id, a.sensor, "pre", *keep.values(), "o")
+    best = pairs.groupBy("imu_id", "sensor", "pre", *keep.values()).agg(F.max("o").alias("o"))
+    return best.select("imu_id", "sensor", *keep.values(), *[F.col(f"o.{n}").alias(n) for n in take.values()])

@@ -39,6 +39,10 @@ def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compacted(spark, sf_dir).select("ride_id", "stream", F.col("frame_id").cast("long").alias("frame_id"), "timestamp", F.size("rec_ids").cast("long").alias("n_files"))
 
 
+def p5_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compaction.shared_members(_compacted(spark, sf_dir))
+
+
 def p5_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = compaction.compact_trajectories(table(spark, sf_dir, "traj_data"), shared_dir(spark, "trajectories") + "/table")
     return spark.read.parquet(done.path).select("traj_id", "ride_id", "uri", F.size("timestamps").cast("long").alias("n"))
@@ -57,11 +61,17 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_linked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.contained(nested.cell_nodes(table(spark, sf_dir, "imu_data")))
+    t = nested.node_tables(table(spark, sf_dir, "imu_data"))
+    return nested.innermost(t["sample"], t["object"], {"idx": "sample_idx"}, {"idx": "object_idx", "unit": "unit"})
+
+
+def p7_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = nested.node_tables(table(spark, sf_dir, "imu_data"))
+    return nested.innermost(t["field"], t["sample"], {"idx": "field_idx", "name": "name", "value": "value"}, {"idx": "sample_idx"})
 
 
 def problem_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_trips, p4_found, p5_found, p5_records, p5_trajectories, p6_found, p6_series, p7_found, p7_linked)}
+    return {f.__name__: f for f in (p1_found, p1_trips, p4_found, p5_found, p5_records, p5_members, p5_trajectories, p6_found, p6_series, p7_found, p7_linked, p7_fields)}
 
 
 _US = "cast(floor((case when abs({c}) >= 1e11 then {c} / 1000 else {c} end) * 1e6 + 0.5) as bigint)"
@@ -77,6 +87,7 @@ def problem_sql() -> dict[str, str]:
     return {
         "p5_found": f"{_RECORDS} select distinct a.rec_id as rec_id_a, b.rec_id as rec_id_b from r a join r b on a.ride_id = b.ride_id and a.stream = b.stream and a.frame_id = b.frame_id and a.timestamp = b.timestamp and a.rec_id < b.rec_id",
         "p5_records": f"{_RECORDS} select ride_id, stream, cast(frame_id as bigint) as frame_id, timestamp, count(*) as n_files from r group by all",
+        "p5_members": f"{_RECORDS}, g as (select min(rec_id) as first, list(rec_id) as ids from r group by ride_id, stream, frame_id, timestamp having count(*) > 1) select distinct first, unnest(ids) as rec_id from g",
         "p5_trajectories": "select distinct traj_id, ride_id, uri, cast(len(timestamps) as bigint) as n from traj_data where traj_id is not null",
         "p6_found": f"""
 with t as (select distinct on (traj_id) traj_id, timestamps, position, yaw from traj_data where traj_id is not null),

@@ -47,12 +47,38 @@ def test_failed_reconciliation_keeps_the_old_folder(spark, monkeypatch):
     assert spark.read.parquet(path).count() == 5
 
 
+def test_a_crash_between_the_renames_is_mended(spark):
+    path = shared_dir(spark, "t") + "/x"
+    c.compact(spark.range(5).toDF("a"), ["a"], path)
+    fs, at = c._fs(spark, path)
+    old = c._fs(spark, path + ".old")[1]
+    assert fs.rename(at, old)
+    c.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5 and not fs.exists(old)
+    # the next swap mends it as well, and drops what a finished swap left
+    assert fs.rename(at, old)
+    c.compact(spark.range(7).toDF("a"), ["a"], path)
+    assert spark.read.parquet(path).count() == 7 and not fs.exists(old)
+    spark.range(3).write.parquet(path + ".old")
+    c.recover(spark, path)
+    assert spark.read.parquet(path).count() == 7 and not fs.exists(old)
+
+
+def test_small_tables_are_written_in_several_ranges(spark):
+    path = shared_dir(spark, "t") + "/x"
+    done = c.compact_recordings(spark.read.parquet("/root/testdata/sf0.01/recordings.parquet"), path)
+    assert done.files > 1
+    ends = sorted((r.a, r.b) for r in spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("ride_id").alias("a"), F.max("ride_id").alias("b")).collect())
+    assert len(ends) > 1 and all(x[1] <= y[0] for x, y in zip(ends, ends[1:], strict=False))
+
+
 def test_records_compare_as_numbers(spark):
     rows = [(1, 1, "front", "frame_id,timestamp\r\n1, 5.50\r\n2,6\r\n", "t"), (2, 1, "front", "2,6.0", "t"), (3, 1, "rear", "2,6.0", "t"), (4, 2, "front", "2,6.0", "t"), (5, 1, "front", "", "t"), (6, 1, "front", None, "t"), (7, 1, "front", "x,y\n3,\n,4\n9", "t"), (8, 1, "front", "1,5.5\n1,5.5", "t"), (2, 1, "front", "2,6.0", "t")]
     df = spark.createDataFrame(rows, REC)
     d = c.distinct_records(df)
     assert d.count() == 4
     assert {tuple(r) for r in c.shared_files(d).collect()} == {(1, 2), (1, 8)}
+    assert {tuple(r) for r in c.shared_members(d).collect()} == {(1, 1), (1, 2), (1, 8)}
     assert c.distinct_records(df.limit(0)).count() == 0
 
 
@@ -153,6 +179,11 @@ CELLS = [
     ("[[[1,2,3,4]],[],[[5,6,7,8],[1,2,3,null]]]", [0, 1]),
     ('{"batches":[{"unit":"raw","samples":[[1,2,3,4]]},{"samples":null},{"samples":[]},{"samples":[[5,6,7,8]]}],"fw":"2"}', [0, 1]),
     ('[{"samples":[[1,2,3,4]]},{"unit":"raw","samples":[[1,2,"",4],[9,9,9,9]]}]', [0, 2]),
+    ('{"readings":[[1,2,3,4],[5,6,7,8]],"offset":[1,2,3],"meta":{"fw":"2"}}', [0, 1]),
+    ('{"imu":{"timestamp":5,"samples":[[1,2,3,4]],"cal":{"gain":[1,2]}}}', [0]),
+    ('{"batches":[{"data":[[1,2,3,4]]},{"data":{"x":1,"y":2,"z":3,"timestamp":4}}]}', [0, 1]),
+    ('{"a":{"b":{"c":[[[{"x":1,"y":2,"z":3,"timestamp":4,"more":{"p":[1]}}]]]}}}', [0]),
+    ('{"samples":[1,[1,2,3,4]]}', [1]),
     ("[[]]", []),
     ("[]", []),
     ("null", []),
@@ -178,8 +209,14 @@ def brute(cell):
 
     def go(q):
         if isinstance(q, dict):
-            if "batches" in q or "samples" in q:
-                go(q.get("batches", q.get("samples")) or [])
+            inner = [k for k in ("batches", "samples") if k in q] or [k for k, e in q.items() if isinstance(e, list | dict) and "[" in json.dumps(e) and k not in ("offset", "meta", "cal", "more")]
+            if inner and not ("x" in q and "samples" not in q) or "data" in q:
+                for k in inner or ["data"]:
+                    if isinstance(q[k], list) and any(isinstance(e, list | dict) for e in q[k]):
+                        for e in q[k]:
+                            go(e) if isinstance(e, list | dict) else out.append([None] * 4)
+                    else:
+                        go(q[k] or [])
             else:
                 out.append([q.get(k) for k in ("x", "y", "z", "timestamp")])
         elif isinstance(q, list):
@@ -201,19 +238,34 @@ def test_cells(spark):
         got.setdefault(r.imu_id, []).append(r.sample_idx)
     for i, (cell, want) in enumerate(CELLS):
         assert sorted(got.get(i, [])) == want == brute(cell), cell
-    link = {(r.imu_id, r.sample_idx): (r.batch_idx, r.unit) for r in nested.contained(nested.cell_nodes(df)).collect()}
-    assert link[(4, 0)] == (0, "raw") and link[(4, 1)] == (3, None) and link[(5, 2)] == (1, "raw") and link[(0, 1)] == (None, None)
+    t = nested.node_tables(df)
+    link = {(r.imu_id, r.sample_idx): (r.object_idx, r.unit) for r in nested.innermost(t["sample"], t["object"], {"idx": "sample_idx"}, {"idx": "object_idx", "unit": "unit"}).collect()}
+    assert link[(4, 0)] == (1, "raw") and link[(4, 1)] == (4, None) and link[(5, 2)] == (1, "raw") and link[(0, 1)] == (None, None)
+    fields = {(r.imu_id, r.name, r.value, r.sample_idx) for r in nested.innermost(t["field"], t["sample"], {"idx": "field_idx", "name": "name", "value": "value"}, {"idx": "sample_idx"}).collect()}
+    assert (2, "temp", "20", 0) in fields and (4, "fw", "2", None) in fields
+    assert all(v.where("imu_id = 4").count() for v in t.values()) and t["cell"].count() == len([c for c, _ in CELLS if read_cell(c)])
     assert nested.sample_table(df.limit(0)).count() == 0
 
 
-def test_intervals_nest():
-    t = read_cell(CELLS[4][0])
-    spans = [(b[0], b[1]) for b in t.batches] + [(s[0], s[1]) for s in t.samples]
-    assert len({a for a, _ in spans}) == len(spans)
-    for a in spans:
-        for b in spans:
-            # two spans nest or are disjoint: pre and post order never cross
-            assert a == b or (a[0] < b[0]) != (a[1] < b[1]) or (a[0] < b[0] and a[1] < b[1]) or (b[0] < a[0] and b[1] < a[1])
+@pytest.mark.parametrize("cell", [c for c, _ in CELLS if read_cell(c)])
+def test_intervals_say_what_contains_what(cell):
+    """Parents by containment equal those of a walk of its own, in which a node's labels come from a list of opened and closed nodes."""
+    t = read_cell(cell)
+    nodes = sorted([(q[1], q[2]) for q in t.others] + [(q[0], q[1]) for q in t.samples])
+    assert [a for a, _ in nodes] == list(range(len(nodes))) and sorted(b for _, b in nodes) == list(range(len(nodes)))
+    # rebuild by opening in pre-order and closing in post-order: each node must close right after all that it contains
+    open_, closed = [], 0
+    for pre, post in nodes:
+        while open_ and open_[-1][1] < post:
+            assert open_.pop()[1] == closed
+            closed += 1
+        inside = [n for n in nodes if n[0] < pre and post < n[1]]
+        assert inside == open_
+        open_.append((pre, post))
+    # an inner node's span holds exactly its own subtree
+    for pre, post in nodes:
+        below = [n for n in nodes if pre < n[0] and n[1] < post]
+        assert [n[0] for n in below] == list(range(pre + 1, pre + 1 + len(below)))
 
 
 def test_whole_cells_against_brute_force(spark):
