@@ -1,12 +1,19 @@
 """Nearest-in-time matching of two streams, per entity and within a tolerance, as a stateful streaming join.
 
-Left and right rows of an entity are buffered in keyed state. A left row is emitted once the watermark has passed its
-tolerance horizon (no candidate can come any more), candidates out of reach of every waiting row are evicted. State is keyed
-by entity and time block; rights near a block's border go to both blocks, so one long-lived entity is many small keys.
+Left and right readings of an entity are buffered in keyed state. A left reading is emitted once the watermark has passed its
+tolerance horizon (no candidate can come any more), candidates out of reach of every waiting one are evicted. State is keyed by
+entity and time block; candidates near a block's border go to both blocks, so one long-lived entity is many small keys.
+
+An event is a piece: readings of one entity and block in arrays, with the time of its earliest one. What comes later is never
+earlier than the watermark, so a reading past it is sure of its match, however long the pieces are. Stored tables are replayed
+in time order: their pieces are written range-partitioned by time, and the stream takes those files in order, some in each
+micro-batch, so the watermark moves on, matches leave with every batch, and state holds what the last batches brought.
 """
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,10 +21,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from rovermill.functions.timeline import micros
-from rovermill.runtime import shared_dir
+from rovermill.runtime import cut, shared_dir
 
 LEFT, RIGHT, END = 0, 1, 2
 MATCHES = "traj_id long, odom_idx long, side string, match_id long, distance_us long"
@@ -27,11 +33,18 @@ STATE = "left_us binary, left_owner binary, left_id binary, right_us binary, rig
 
 @dataclass(frozen=True)
 class NearestRules:
-    """tolerance_us: inclusive; block_us: time covered by one state key; lateness: how far behind the newest row a row may arrive."""
+    """tolerance_us: inclusive; block_us: time covered by one state key; lateness: how far behind the newest event one may arrive.
+
+    For a replay: piece_us, the time of frames in one event; batch_readings, readings a micro-batch takes for each core of the
+    cluster; least_batches, how many micro-batches a small table is still split into.
+    """
 
     tolerance_us: int = 100_000
     block_us: int = 1_800_000_000
     lateness: str = "0 seconds"
+    piece_us: int = 300_000_000
+    batch_readings: int = 500_000
+    least_batches: int = 4
 
 
 def nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, tolerance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,10 +73,11 @@ def _matcher(rules: NearestRules):  # noqa: ANN202
         else:
             lu = lo = li = ru = ri = empty
         for f in frames:
-            kind, us, owner, ident = f["kind"].to_numpy(), f["us"].to_numpy(np.int64), f["owner"].to_numpy(np.int64), f["ident"].to_numpy(np.int64)
+            kind, size = f["kind"].to_numpy(), np.array([len(u) for u in f["us"]], np.int64)
             m, n = kind == LEFT, kind == RIGHT
-            lu, lo, li = np.r_[lu, us[m]], np.r_[lo, owner[m]], np.r_[li, ident[m]]
-            ru, ri = np.r_[ru, us[n]], np.r_[ri, ident[n]]
+            put = lambda old, col, rows: np.concatenate([old, *f[col].to_numpy()[rows]])  # noqa: B023, E731
+            lu, lo, li = put(lu, "us", m), np.r_[lo, np.repeat(f["owner"].to_numpy(np.int64)[m], size[m])], put(li, "ident", m)
+            ru, ri = put(ru, "us", n), put(ri, "ident", n)
         mark = state.getCurrentWatermarkMs() * 1000
         due = np.ones(len(lu), bool) if state.hasTimedOut else lu + tol < mark
         if due.any():
@@ -96,71 +110,93 @@ def _matcher(rules: NearestRules):  # noqa: ANN202
     return fold
 
 
-def events(df: DataFrame, side: str, kind: int, entity: Column, us: Column, owner: Column, ident: Column, rules: NearestRules) -> DataFrame:
-    """Rows of one kind as stream events; candidates near a border of their block are repeated in the next."""
-    e = df.select(F.lit(side).alias("side"), F.lit(kind).alias("kind"), entity.alias("entity"), us.alias("us"), owner.alias("owner"), ident.alias("ident")).where("us is not null and entity is not null and ident is not null")
+def pieces(df: DataFrame, side: str, kind: int, entity: Column, owner: Column, readings: Column, rules: NearestRules) -> DataFrame:
+    """Events of one kind from rows with an array of readings (us, id): one for each block; candidates near a border of their block are repeated in the next."""
+    rows = df.select(F.lit(side).alias("side"), F.lit(kind).alias("kind"), entity.alias("entity"), owner.alias("owner"), F.filter(readings, lambda e: e["us"].isNotNull() & e["id"].isNotNull()).alias("e"))
     reach = rules.tolerance_us if kind == RIGHT else 0
-    block = F.sequence(F.floor((F.col("us") - reach) / F.lit(rules.block_us)), F.floor((F.col("us") + reach) / F.lit(rules.block_us)))
-    return e.withColumn("block", F.explode(block))
+    first, last = (lambda us: F.floor((us - reach) / F.lit(rules.block_us))), (lambda us: F.floor((us + reach) / F.lit(rules.block_us)))
+    blocks = F.array_distinct(F.flatten(F.transform("e", lambda e: F.array(first(e["us"]), last(e["us"])))))
+    rows = rows.where("entity is not null").withColumn("block", F.explode(blocks))
+    rows = rows.withColumn("e", F.filter("e", lambda e: (first(e["us"]) <= F.col("block")) & (last(e["us"]) >= F.col("block"))))
+    return rows.select("side", "kind", "entity", F.col("e.us").alias("us"), "owner", F.col("e.id").alias("ident"), "block")
 
 
 def odometry_events(traj: DataFrame, frames: DataFrame, rules: NearestRules) -> DataFrame:
-    """The merged event stream of trajectory records and frames; works on batch and streaming frames alike.
-
-    Each record ends with a punctuation row 1 s behind its last time: it carries the watermark past all horizons of the record.
-    """
-    t = traj.where("traj_id is not null").select("traj_id", "ride_id", F.transform("timestamps", micros).alias("odom"), F.transform("control_timestamps", micros).alias("ctrl"))
-    odom = t.select("traj_id", "ride_id", F.posexplode("odom").alias("i", "us"))
-    ctrl = t.select("traj_id", F.posexplode("ctrl").alias("i", "us"))
-    i = F.col("i").cast("long")
-    last = F.greatest(F.array_max("odom"), F.array_max("ctrl")) + F.lit(1_000_000 + 2 * rules.tolerance_us)
-    f = frames.select("ride_id", "frame_id", micros(F.col("timestamp")).alias("us"))
+    """Trajectory records and frames as events; every record once."""
+    t = traj.where("traj_id is not null").select("traj_id", "ride_id", "timestamps", "control_timestamps").dropDuplicates(["traj_id"])
+    timed = lambda c: F.transform(c, lambda v, i: F.struct(micros(v).alias("us"), i.cast("long").alias("id")))
+    t = t.select("traj_id", "ride_id", timed("timestamps").alias("odom"), timed("control_timestamps").alias("ctrl"))
+    f = frames.select("ride_id", "frame_id", micros(F.col("timestamp")).alias("us")).where("us is not null and ride_id is not null and frame_id is not null")
+    f = f.groupBy("ride_id", F.floor(F.col("us") / F.lit(rules.piece_us)).alias("piece")).agg(F.collect_list(F.struct("us", F.col("frame_id").alias("id"))).alias("e"))
+    traj_id, ride_id = F.col("traj_id"), F.col("ride_id")
     parts = [
-        events(odom, "control", LEFT, F.col("traj_id"), F.col("us"), F.col("traj_id"), i, rules),
-        events(odom, "camera", LEFT, F.col("ride_id"), F.col("us"), F.col("traj_id"), i, rules),
-        events(ctrl, "control", RIGHT, F.col("traj_id"), F.col("us"), F.col("traj_id"), i, rules),
-        events(f, "camera", RIGHT, F.col("ride_id"), F.col("us"), F.lit(0).cast("long"), F.col("frame_id"), rules),
-        events(t, "control", END, F.col("traj_id"), last, F.col("traj_id"), F.lit(0).cast("long"), rules),
+        pieces(t, "control", LEFT, traj_id, traj_id, F.col("odom"), rules),
+        pieces(t, "camera", LEFT, ride_id, traj_id, F.col("odom"), rules),
+        pieces(t, "control", RIGHT, traj_id, traj_id, F.col("ctrl"), rules),
+        pieces(f, "camera", RIGHT, ride_id, F.lit(0).cast("long"), F.col("e"), rules),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 def match_stream(stream: DataFrame, rules: NearestRules | None = None) -> DataFrame:
-    """The stateful join of an event stream (side, kind, entity, us, owner, ident, block): one row per matched left row, in append mode.
+    """The stateful join of an event stream (side, kind, entity, us, owner, ident, block): one row per matched left reading, in append mode.
 
-    Rows later than `lateness` behind the watermark are too late and dropped by the engine, as in any event-time stream; a
-    replay of files that takes all files in one batch has none.
+    us and ident are arrays, or single values of one reading. Events later than `lateness` behind the watermark are too late and dropped by
+    the engine, as in any event-time stream; a replay has none. END events only carry the watermark on.
     """
     r = rules or NearestRules()
-    timed = stream.withColumn("at", F.timestamp_micros("us")).withWatermark("at", r.lateness)
+    if stream.schema["us"].dataType.typeName() == "long":
+        stream = stream.withColumns({"us": F.array("us"), "ident": F.array("ident")})
+    timed = stream.withColumn("at", F.timestamp_micros(F.array_min("us"))).withWatermark("at", r.lateness)
     return timed.groupBy("side", "entity", "block").applyInPandasWithState(_matcher(r), MATCHES, STATE, "append", "EventTimeTimeout")
 
 
-def replay_matches(spark: SparkSession, traj_path: str, frames_path: str, rules: NearestRules | None = None) -> DataFrame:
-    """Runs the streaming join over stored tables to its end and returns what it wrote: traj_id, odom_idx, side, match_id, distance_us.
-
-    traj: traj_id, ride_id, timestamps, control_timestamps; frames: ride_id, frame_id, timestamp. Null, NaN and infinite times
-    are left out; repeated records and frames count once. A left row without a candidate within the tolerance gives no row.
-    """
-    r = rules or NearestRules()
-
-    # a file source takes a single file only as a pattern; a pattern serves folders as well
-    def source(path: str, names: list[str]) -> DataFrame:
-        full = spark.read.parquet(path).schema
-        return spark.readStream.schema(StructType([full[n] for n in names])).parquet(path[:-1] + f"[{path[-1]}]")
-
+def in_time_order(events: DataFrame, rules: NearestRules) -> tuple[str, int]:
+    """Writes events in files by time whose order of change is that of time, and an END past all horizons; gives their folder and the files of a micro-batch."""
+    spark = events.sparkSession
+    rows = cut(events, "pieces")
+    n, last = rows.agg(F.coalesce(F.sum(F.size("us")), F.lit(0)), F.coalesce(F.max(F.array_max("us")), F.lit(0))).first()
+    slots = spark.sparkContext.defaultParallelism
+    batches = max(rules.least_batches, math.ceil(n / (slots * rules.batch_readings)))
+    end = spark.range(1).select(F.lit("control").alias("side"), F.lit(END).alias("kind"), F.lit(0).cast("long").alias("entity"), F.array(F.lit(last + 2 * rules.tolerance_us + 86_400_000_000)).alias("us"), F.lit(0).cast("long").alias("owner"), F.array(F.lit(0).cast("long")).alias("ident"), F.lit(0).cast("long").alias("block"))
+    path = shared_dir(spark, "ordered")
+    rows.unionByName(end).withColumn("at", F.array_min("us")).repartitionByRange(batches * slots, "at").drop("at").write.parquet(path)
+    # a file stream takes files by their time of change; partitions are numbered by range
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    now = int(time.time() * 1000) - 10 * len(files)
+    for k, f in enumerate(files):
+        fs.setTimes(f, now + 10 * k, -1)
+    return path, max(1, math.ceil(len(files) / batches))
+
+
+def replay(traj: DataFrame, frames: DataFrame, rules: NearestRules) -> tuple[DataFrame, list]:
+    """The matches of replay_matches and the progress of the stream's micro-batches."""
+    spark = traj.sparkSession
+    path, files = in_time_order(odometry_events(traj, frames, rules), rules)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
+    found = match_stream(stream, rules)
     work = shared_dir(spark, "nearest")
-    found = match_stream(odometry_events(source(traj_path, ["traj_id", "ride_id", "timestamps", "control_timestamps"]), source(frames_path, ["ride_id", "frame_id", "timestamp"]), r), r)
     # state on local disk with change logs in the shared folder: it may outgrow the heap, and survives a lost executor
-    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set(name, ROCKS)
+    conf = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         query = found.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/state").outputMode("append").trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
-        spark.conf.set(name, before)
-    # one key sees a record's repeats in one batch; should they come in several, the first match stays
-    return spark.read.schema(found.schema).parquet(f"{work}/out").dropDuplicates(["traj_id", "odom_idx", "side"])
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    return spark.read.schema(found.schema).parquet(f"{work}/out"), query.recentProgress
+
+
+def replay_matches(spark: SparkSession, traj_path: str, frames_path: str, rules: NearestRules | None = None) -> DataFrame:
+    """Runs the streaming join over stored tables to its end and returns what it wrote: traj_id, odom_idx, side, match_id, distance_us.
+
+    traj: traj_id, ride_id, timestamps, control_timestamps; frames: ride_id, frame_id, timestamp. Null, NaN and infinite times
+    are left out; repeated records and frames count once. A left row without a candidate within the tolerance gives no row.
+    """
+    return replay(spark.read.parquet(traj_path), spark.read.parquet(frames_path), rules or NearestRules())[0]

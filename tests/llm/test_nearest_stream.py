@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from rovermill.llm.nearest_stream import NearestRules, match_stream, nearest, replay_matches
+from rovermill.llm.nearest_stream import NearestRules, match_stream, nearest, replay, replay_matches
 from rovermill.runtime import shared_dir
 
 TRAJ = "traj_id long, ride_id long, timestamps array<double>, control_timestamps array<double>, side string"
@@ -88,3 +88,18 @@ def test_live_stream_emits_behind_the_watermark_and_evicts(spark):
     assert got == {(1, 11), (2, 12)}
     spark.sql("drop view if exists live_matches")
     assert F is not None
+
+
+def test_replay_moves_the_watermark_and_keeps_state_small(spark):
+    """Forty records one after another: most batches emit, none holds more keys than two batches bring, nothing is dropped as late."""
+    traj = [(k, k % 3, [T0 + 1000.0 * k + 0.5 * i for i in range(100)], [T0 + 1000.0 * k + 0.5 * i + 0.04 for i in range(100)], "x") for k in range(40)]
+    frames = [(k % 3, 1000 * k + i, T0 + 1000.0 * k + 0.5 * i - 0.03, "x") for k in range(40) for i in range(100)]
+    found, progress = replay(spark.createDataFrame(traj, TRAJ), spark.createDataFrame(frames, FRAMES), NearestRules(least_batches=8))
+    assert {(r.traj_id, r.odom_idx, r.side, r.match_id) for r in found.collect()} == brute(traj, frames)
+    state = [p["stateOperators"][0] for p in progress if p["stateOperators"]]
+    keys = spark.createDataFrame(traj, TRAJ).count() * 2
+    assert len([p for p in progress if p["sink"]["numOutputRows"]]) >= 6
+    assert max(q["numRowsTotal"] for q in state) <= keys * 2 / 5 and state[-1]["numRowsTotal"] == 0
+    assert sum(q["numRowsDroppedByWatermark"] for q in state) == 0
+    marks = [p["eventTime"]["watermark"] for p in progress if "watermark" in p["eventTime"]]
+    assert marks == sorted(marks) and len(set(marks)) >= 6
