@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rovermill.functions.cells import samples_of
 from rovermill.functions.timeline import micros
 from rovermill.operators.chunks import first_of_key, map_groups, runs, with_halo
-from rovermill.operators.trips import frozen_runs, off_path, to_metres
+from rovermill.operators.trips import frozen_runs, local_median, to_metres
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,7 @@ class ChartRules:
     rpm_stuck: int = 10
     gps_jump_m: float = 20.0
     gps_speed: float = 2.5
+    gps_floor_m: float = 2.0
     gps_stuck: int = 8
     compass_dev: float = 150.0
     compass_share: float = 0.12
@@ -120,6 +121,12 @@ def wheel_spikes(control: DataFrame, rules: ChartRules | None = None) -> DataFra
     return map_groups(rows, ["ride_id", "chunk"], ["us", "control_id"], fn, "row_id long").distinct()
 
 
+def beyond_reach(t: np.ndarray, x: np.ndarray, y: np.ndarray, speed: float) -> np.ndarray:
+    """Metres by which each fix is farther from the median of the fixes around it than a robot drives in the time between; 0 within reach."""
+    (mx, _), (my, _), (mt, _) = local_median(x), local_median(y), local_median(t)
+    return np.maximum(np.hypot(x - mx, y - my) - speed * np.abs(t - mt), 0.0)
+
+
 def position_flags(t: np.ndarray, lat: np.ndarray, lon: np.ndarray, rules: ChartRules) -> np.ndarray:
     have = np.isfinite(lat) & np.isfinite(lon)
     # a value off the globe is judged even where its partner is missing
@@ -132,16 +139,17 @@ def position_flags(t: np.ndarray, lat: np.ndarray, lon: np.ndarray, rules: Chart
         if len(i) < 3:
             continue
         x, y = to_metres(lat[i], lon[i])
-        good = np.ones(len(i), bool)
         bad = np.zeros(len(i), bool)
-        # the wildest go first, so that they don't pull the medians their neighbours are judged by
+        # chart of how much farther a fix lies from the fixes around it than the robot can drive in the time between. The wildest
+        # go first, so that they don't pull the medians their neighbours are judged by
         for jump in (3 * rules.gps_jump_m, rules.gps_jump_m, rules.gps_jump_m):
-            j = np.flatnonzero(good)
-            hit = j[off_path(t[i[j]], x[j], y[j], jump, rules.gps_speed)]
-            bad[hit] = True
-            good[hit] = False
+            j = np.flatnonzero(~bad)
+            if len(j) < 3:
+                break
+            over = beyond_reach(t[i[j]], x[j], y[j], rules.gps_speed)
+            bad[j] = ew_chart(over, np.full(len(j), rules.gps_floor_m), np.ones(len(j), bool), rules, jump)
         # chart of the distance to the line between the neighbours
-        j = np.flatnonzero(good)
+        j = np.flatnonzero(~bad)
         if len(j) >= 3:
             f = np.clip((t[i[j[1:-1]]] - t[i[j[:-2]]]) / np.maximum(t[i[j[2:]]] - t[i[j[:-2]]], 1e-6), 0, 1)
             res = np.hypot(x[j[1:-1]] - (x[j[:-2]] + f * (x[j[2:]] - x[j[:-2]])), y[j[1:-1]] - (y[j[:-2]] + f * (y[j[2:]] - y[j[:-2]])))
@@ -183,23 +191,28 @@ def compass_flags(cells: list[np.ndarray], rules: ChartRules) -> np.ndarray:
     ok = ~wrong
     floor = max(rules.compass_dev / 2.5, rules.compass_share * float(np.median(size[ok]))) if ok.any() else 1.0
     wrong |= ew_chart(np.where(ok, size, np.nan), np.full(len(v), floor), ok, rules)
-    # within a cell the heading stays: samples far from the median of their cell, if it has three good ones
+    # chart of how far a sample's axes are from those around it. Within a cell the heading stays: from the median of its cell, if
+    # it has three good samples. In cells with fewer x is upright and doesn't depend on the heading, so it is held against the cells
+    # before and after. y and z are not, as a turn and back again looks the same as a spike there; for them the strength chart
+    # alone decides
     edge = np.r_[0, np.cumsum([len(cells[k]) for k in filled])]
-    for q, k in enumerate(filled):
-        own = slice(edge[q], edge[q + 1])
-        good = ~wrong[own]
-        if good.sum() >= 3:
-            m = np.median(v[own][good], axis=0)
-            wrong[own] |= (np.abs(v[own] - m) > rules.compass_dev).any(axis=1)
-    # cells with fewer: x is upright and doesn't depend on the heading, so it is held against the cells before and after. y and
-    # z are not, as a turn and back again looks the same as a spike there; for them the strength chart alone decides
     parts = [slice(edge[q], edge[q + 1]) for q in range(len(filled))]
+    count = [int((~wrong[own]).sum()) for own in parts]
+    off = np.full(len(v), np.nan)
+    for own, n in zip(parts, count, strict=True):
+        if n >= 3:
+            off[own] = np.abs(v[own] - np.median(v[own][~wrong[own]], axis=0)).max(axis=1)
+    off[wrong] = np.nan
+    limit = np.full(len(v), rules.compass_dev / rules.limit)
+    # a cell's middle is that of its samples in line; the spikes of larger cells are known by then
+    wrong |= ew_chart(off, limit, np.isfinite(off), rules, rules.compass_dev)
     mid = [float(np.median(v[own, 0][~wrong[own]])) if (~wrong[own]).any() else None for own in parts]
-    few = [0 < int((~wrong[own]).sum()) < 3 for own in parts]
+    apart = np.full(len(v), np.nan)
     for q, own in enumerate(parts):
-        if few[q] and 0 < q < len(parts) - 1 and mid[q - 1] is not None and mid[q + 1] is not None:
+        if 0 < count[q] < 3 and 0 < q < len(parts) - 1 and mid[q - 1] is not None and mid[q + 1] is not None:
             lo, hi = min(mid[q - 1], mid[q + 1]), max(mid[q - 1], mid[q + 1])
-            wrong[own] |= (v[own, 0] < lo - rules.compass_dev) | (v[own, 0] > hi + rules.compass_dev)
+            apart[own] = np.maximum(np.maximum(lo - v[own, 0], v[own, 0] - hi), 0.0)
+    wrong |= ew_chart(apart, limit, np.isfinite(apart), rules, rules.compass_dev)
     out[np.unique(at[wrong])] = True
     # stuck: all samples of successive cells equal; cells without a usable sample don't end the run
     first = np.array([cells[k][0, :3] for k in filled])

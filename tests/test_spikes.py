@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 
+from rovermill.operators import spikes
 from rovermill.operators.spikes import ChartRules, compass_flags, compass_spikes, position_spikes, wheel_spikes
 
 T0 = 1_325_376_000.0
@@ -77,3 +78,32 @@ def test_compass_cells_of_few_samples():
     cells = [cell(300, 0.3 + 0.01 * i, 1 + i % 2) for i in range(60)]
     cells[20], cells[41], cells[50] = cell(600, 0.5, 1), cell(20, 0.7, 2), cell(300, 1.5, 1)
     assert np.flatnonzero(compass_flags(cells, ChartRules())).tolist() == [20, 41]
+
+
+def test_the_charts_decide(monkeypatch):
+    """Without the charts no spike is flagged that is neither impossible nor stuck: not in positions, not in the compass, not in wheels."""
+    rng = np.random.default_rng(2)
+    t = T0 + 2.0 * np.arange(200)
+    lat, lon = 45 + np.arange(200) * 2e-5 + rng.normal(0, 5e-6, 200), 7 + rng.normal(0, 5e-6, 200)
+    lat[30] += 0.001
+    cells = [np.c_[900 + rng.integers(-20, 20, 5), 1200 + rng.integers(-20, 20, 5), -300 + rng.integers(-20, 20, 5), np.arange(5)].astype(float) for _ in range(40)]
+    cells[10][2, 2] += 400
+    w = 60 + rng.normal(0, 2, (4, 200))
+    w[0, 70] = 140
+    flagged = lambda: (spikes.position_flags(t, lat, lon, ChartRules()), compass_flags(cells, ChartRules()), spikes.rpm_flags(t, w, ChartRules()))
+    assert [np.flatnonzero(f).tolist() for f in flagged()] == [[30], [10], [70]]
+    monkeypatch.setattr(spikes, "ew_chart", lambda r, *_: np.zeros(len(r), bool))
+    assert not any(f.any() for f in flagged())
+
+
+def test_limits_follow_what_is_normal_for_the_source():
+    """Fixes that wander wide widen their own chart; a clipped spike does not."""
+    rng = np.random.default_rng(7)
+    calm, wild = np.abs(rng.normal(0, 1, 500)), np.abs(rng.normal(0, 12, 500))
+    r, floor, use = ChartRules(), np.full(500, 2.0), np.ones(500, bool)
+    for v in (calm, wild):
+        v[250] = 70.0
+    assert np.flatnonzero(spikes.ew_chart(calm, floor, use, r, 20.0)).tolist() == [250]
+    assert spikes.ew_chart(wild, floor, use, r, 20.0).sum() <= 1
+    calm[251:255] = 70.0
+    assert np.flatnonzero(spikes.ew_chart(calm, floor, use, r, 20.0)).tolist() == [250, 251, 252, 253, 254]
