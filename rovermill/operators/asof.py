@@ -16,8 +16,8 @@ from rovermill.operators.sequences import HOUR_US
 def _neighbours(left: DataFrame, right: DataFrame, entity: str, left_id: str, right_id: str, span_us: int) -> DataFrame:
     """left (entity, us, left_id) with before and after: struct (us, right_id) of the last right row at or before us (of equal times the lowest id) and the first at or after it."""
     r = right.groupBy(entity, "us").agg(F.min(right_id).alias(right_id))
-    side = lambda df, k, own, other: df.select(entity, "us", F.lit(k).alias("kind"), F.col(own).alias(own), F.lit(None).cast("long").alias(other))
-    both = side(left, 1, left_id, right_id).unionByName(side(r, 0, right_id, left_id)).withColumn("chunk", F.floor(F.col("us") / F.lit(span_us)))
+    side = lambda df, k, own, other, kind: df.select(entity, "us", F.lit(k).alias("kind"), F.col(own).alias(own), F.lit(None).cast(kind).alias(other))
+    both = side(left, 1, left_id, right_id, right.schema[right_id].dataType).unionByName(side(r, 0, right_id, left_id, left.schema[left_id].dataType)).withColumn("chunk", F.floor(F.col("us") / F.lit(span_us)))
     hit = F.when(F.col("kind") == 0, F.struct("us", right_id))
     keys = [entity, "chunk"]
     w = Window.partitionBy(*keys).orderBy("us", "kind")
@@ -33,7 +33,7 @@ def _neighbours(left: DataFrame, right: DataFrame, entity: str, left_id: str, ri
 def nearest(left: DataFrame, right: DataFrame, entity: str, left_id: str, right_id: str, tolerance_us: int | None = None, span_us: int = HOUR_US) -> DataFrame:
     """entity, left_id, us, right_id, right_us, distance_us: the nearest right row of every left row.
 
-    left and right need entity, us (not null) and their ids; other columns are ignored. Of equally near rows the earlier time
+    left and right need entity, us (not null) and their ids, which may be structs; other columns are ignored. Of equally near rows the earlier time
     counts, then the lower id. A distance of exactly tolerance_us still matches; a left row without match gives no row.
     """
     n = _neighbours(left, right, entity, left_id, right_id, span_us)

@@ -91,6 +91,38 @@ def map_groups(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[d
     return (df if clustered else df.repartition(*keys)).sortWithinPartitions(*keys, *order).mapInArrow(run, out)
 
 
+def fold_groups(df: DataFrame, keys: list[str], order: list[str], begin: Callable[[dict], Callable[[Arrays], Arrays | None]], schema: str | StructType) -> DataFrame:
+    """An ordered pass over every group of keys that holds one Arrow batch at a time, however long the group.
+
+    begin gives the fold of a group, which takes its rows piece by piece, in order, and returns what is done. The rows are hashed
+    and sorted by Spark (both spill). Keys must not be null.
+    """
+    out = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    arrow = to_arrow_schema(out)
+    types = [(f.name, f.type) for f in arrow]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, fold = None, None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            ks = [numpy_of(b.column(b.schema.get_field_index(k))) for k in keys]
+            change = np.zeros(b.num_rows, bool)
+            for k in ks:
+                change[1:] |= k[1:] != k[:-1]
+            edges = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                now = tuple(k[lo] for k in ks)
+                if now != key:
+                    key, fold = now, begin(dict(zip(keys, now, strict=True)))
+                piece = b.slice(lo, hi - lo)
+                res = fold({c: numpy_of(piece.column(i)) for i, c in enumerate(piece.schema.names) if c not in keys})
+                if res and len(res[types[0][0]]):
+                    yield pa.RecordBatch.from_arrays([pa.array(res[name], type=kind, from_pandas=True) for name, kind in types], schema=arrow)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, out)
+
+
 def first_of_key(ids: np.ndarray) -> np.ndarray:
     """Mask of the first row of each run of equal ids, for rows whose order puts repeats of one key side by side."""
     keep = np.ones(len(ids), bool)

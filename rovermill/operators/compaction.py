@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rovermill.functions.timeline import micros
-from rovermill.runtime import shared_dir
+from rovermill.runtime import file_system, shared_dir
 
 TARGET_BYTES = 128 * 1024 * 1024
 #: Below the target a table is still written by all cores at once, as long as no file gets smaller than this.
@@ -33,16 +33,10 @@ class Compacted:
     files: int
 
 
-def _fs(spark: SparkSession, path: str):  # noqa: ANN202
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def recover(spark: SparkSession, path: str) -> None:
     """Ends a swap that a crash cut short: where path is gone, path.old is renamed back; where both exist, path.old is the remains of a finished swap."""
-    fs, at = _fs(spark, path)
-    _, old = _fs(spark, path + ".old")
+    fs, at = file_system(spark, path)
+    _, old = file_system(spark, path + ".old")
     if not fs.exists(old):
         return
     if fs.exists(at):
@@ -54,9 +48,9 @@ def recover(spark: SparkSession, path: str) -> None:
 def swap(spark: SparkSession, staged: str, path: str) -> None:
     """staged takes the place of path: two renames, and a removal of the old folder at the end. What a crash between them leaves, recover mends, as does the next swap."""
     recover(spark, path)
-    fs, new = _fs(spark, staged)
-    _, at = _fs(spark, path)
-    _, old = _fs(spark, path + ".old")
+    fs, new = file_system(spark, staged)
+    _, at = file_system(spark, path)
+    _, old = file_system(spark, path + ".old")
     had = fs.exists(at)
     if had and not fs.rename(at, old):
         raise OSError(f"cannot move {path} aside")
@@ -84,7 +78,7 @@ def compact(df: DataFrame, keys: list[str], path: str, target_bytes: int = TARGE
     once = shared_dir(spark, "distinct")
     df.observe(seen, *checksum(df)).write.parquet(once)
     before = seen.get
-    fs, folder = _fs(spark, once)
+    fs, folder = file_system(spark, once)
     size = fs.getContentSummary(folder).getLength()
     files = max(1, math.ceil(size / target_bytes), min(spark.sparkContext.defaultParallelism, size // least_bytes))
     staged = path.rstrip("/") + ".staged"

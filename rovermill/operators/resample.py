@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from rovermill.operators import asof
+from rovermill.operators.chunks import map_groups
+
 
 def by_record() -> WindowSpec:
     return Window.partitionBy("traj_id").orderBy("idx")
@@ -35,11 +39,69 @@ def runs_of(df: DataFrame, flag: str) -> DataFrame:
     return g.select("traj_id", "run", F.col("a.idx").alias("start_idx"), F.coalesce("b.i", "e.idx").alias("end_idx"), F.col("a.us").alias("start_us"), F.coalesce("b.u", "e.us").alias("end_us"), "n")
 
 
-def without_pauses(odom: DataFrame, min_rows: int = 10) -> DataFrame:
-    """Rows of odom (traj_id, idx, paused, ...) outside of pauses, renumbered densely as new_idx; a pause that reaches the record's end keeps the last row. Records of fewer than min_rows rows left are rejected."""
+def with_ends(control: DataFrame) -> DataFrame:
+    """Adds end, (cidx, us) of the first moving row after each control row, or of the record's last one. control: traj_id, cidx, us, still."""
+    w = Window.partitionBy("traj_id").orderBy("cidx")
+    at = F.struct("cidx", "us")
+    moving = F.min(F.when(~F.col("still"), at)).over(w.rowsBetween(1, Window.unboundedFollowing))
+    return control.withColumn("end", F.coalesce(moving, F.max(at).over(Window.partitionBy("traj_id"))))
+
+
+def pauses(near: DataFrame, control: DataFrame) -> DataFrame:
+    """The runs of still control rows that odometry rows fall into: traj_id, start_idx, end_idx, start_cidx, end_cidx, start_us, end_us.
+
+    near: traj_id, idx, cidx of the control row nearest to each odometry row. A pause begins at the first odometry row in it and its
+    control row, and ends at the first moving control row; there the odometry row whose control row is nearest (of equal ones the earlier) goes on.
+    """
+    met = near.join(with_ends(control).select("traj_id", "cidx", "still", "us", "end"), ["traj_id", "cidx"])
+    first = F.min(F.struct("idx", "cidx", "us"))
+    p = met.where("still").groupBy("traj_id", "end").agg(first.alias("a")).select("traj_id", F.col("end.cidx").alias("end_cidx"), F.col("end.us").alias("end_us"), F.col("a.idx").alias("start_idx"), F.col("a.cidx").alias("start_cidx"), F.col("a.us").alias("start_us"))
+    resume = asof.nearest(p.select("traj_id", F.col("end_cidx").alias("us"), "end_cidx"), near.select("traj_id", F.col("cidx").alias("us"), "idx"), "traj_id", "end_cidx", "idx", span_us=4_096)
+    return p.join(resume.select("traj_id", "end_cidx", F.col("idx").alias("end_idx")), ["traj_id", "end_cidx"])
+
+
+def removed(pauses_: DataFrame) -> DataFrame:
+    """traj_id, idx of the odometry rows that pauses take out: from the first in a pause to the one that goes on."""
+    r = pauses_.where("end_idx > start_idx")
+    return r.select("traj_id", F.explode(F.sequence("start_idx", F.col("end_idx") - 1)).alias("idx")).distinct()
+
+
+def scanned(near: DataFrame, control: DataFrame) -> DataFrame:
+    """traj_id, new_idx, idx, image_idx of what one scan over each record keeps, with its quirks: new row new_idx holds the data of row idx and the image of row image_idx (null where the other list is longer).
+
+    The row a pause ends at is not tested again; the scan ends early where a pause ends at the row the one before ended at; a
+    stretch of one row between pauses keeps the row its pause began at. near and control as in pauses.
+    """
+    met = near.join(with_ends(control).select("traj_id", "cidx", "still", F.col("end.cidx").alias("end")), ["traj_id", "cidx"])
+
+    def fn(key: dict, a: dict) -> dict:
+        c, n = a["cidx"], len(a["cidx"])
+        data: list[np.ndarray] = []
+        gone = np.zeros(n, bool)
+        at = resumed = 0
+        while at < n:
+            if a["still"][at]:
+                to = int(np.argmin(np.abs(c - a["end"][at])))
+                gone[at:to] = True
+                if to == resumed:
+                    break
+                one = resumed and at - resumed == 1
+                data.append(np.arange(at, at + 1) if one else np.arange(resumed, at))
+                at = resumed = to
+            at += 1
+        data.append(np.arange(resumed, n))
+        rows, images = np.concatenate(data), np.flatnonzero(~gone)
+        size = max(len(rows), len(images))
+        pad = lambda v: np.array([*a["idx"][v].tolist(), *[None] * (size - len(v))], object)
+        return {"traj_id": np.full(size, key["traj_id"]), "new_idx": np.arange(size), "idx": pad(rows), "image_idx": pad(images)}
+
+    return map_groups(met, ["traj_id"], ["idx"], fn, "traj_id long, new_idx long, idx long, image_idx long")
+
+
+def renumbered(odom: DataFrame, min_rows: int = 10) -> DataFrame:
+    """What is left of records (traj_id, idx, ...), renumbered densely as new_idx. Records of fewer than min_rows rows left are rejected."""
     w = Window.partitionBy("traj_id")
-    keep = odom.withColumn("_last", F.col("idx") == F.max("idx").over(w)).where(~F.col("paused") | F.col("_last")).drop("_last")
-    keep = keep.withColumn("new_idx", (F.row_number().over(by_record()) - 1).cast("long")).withColumn("_n", F.count(F.lit(1)).over(w))
+    keep = odom.withColumn("new_idx", (F.row_number().over(by_record()) - 1).cast("long")).withColumn("_n", F.count(F.lit(1)).over(w))
     return keep.where(F.col("_n") >= min_rows).drop("_n")
 
 

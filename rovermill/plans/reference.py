@@ -133,6 +133,19 @@ def k01(spark: SparkSession, d: str) -> DataFrame:
     return out.select("traj_id", "ride_id", F.size("timestamps").cast("long").alias("n_odom"), F.size("control_timestamps").cast("long").alias("n_control"))
 
 
+@ref("ref_k02_stats", f"with {CLN}, {FRM}, s as (select *, us - lag(us) over {_ORD} as dt from cln), c as (select ride_id, count(*) filter (linear = 0 and angular = 0) as stationary_control, count(*) as total_control, avg(dt) / 1e6 as mean_dt from s group by ride_id), f as (select ride_id, count(*) as total_frames from frm group by ride_id), m as (select ride_id, count(distinct frame_id) as missing_frames from front_camera_timestamps where timestamp is null group by ride_id) select ride_id, stationary_control, total_control, round(stationary_control / total_control, 6) as ratio, coalesce(total_frames, 0) as total_frames, total_control as total_odom, round(mean_dt, 4) as mean_dt, coalesce(missing_frames, 0) as missing_frames from c left join f using (ride_id) left join m using (ride_id)")
+def k02(spark: SparkSession, d: str) -> DataFrame:
+    """A record of statistics for every ride, written as JSON lines and read back."""
+    c = g01(spark, d).select("ride_id", F.col("stationary").alias("stationary_control"), F.col("total").alias("total_control"), "ratio", "mean_dt")
+    f = frames(spark, d).groupBy("ride_id").agg(F.count(F.lit(1)).alias("total_frames"))
+    m = table(spark, d, "front_camera_timestamps").where("timestamp is null").select("ride_id", "frame_id").distinct().groupBy("ride_id").agg(F.count(F.lit(1)).alias("missing_frames"))
+    zero = lambda n: F.coalesce(n, F.lit(0).cast("long")).alias(n)
+    stats = c.join(f, "ride_id", "left").join(m, "ride_id", "left").select("ride_id", "stationary_control", "total_control", "ratio", zero("total_frames"), F.col("total_control").alias("total_odom"), "mean_dt", zero("missing_frames"))
+    path = shared_dir(spark, "stats")
+    stats.write.json(path)
+    return spark.read.schema(stats.schema).json(path)
+
+
 @ref("ref_k05_renumber", f"with {FRM} select ride_id, frame_id, row_number() over (partition by ride_id order by us, frame_id) - 1 as new_idx from frm")
 def k05(spark: SparkSession, d: str) -> DataFrame:
     return numbered(frames(spark, d), "new_idx", order=("us", "frame_id")).select("ride_id", "frame_id", "new_idx")
@@ -272,17 +285,16 @@ def a01(spark: SparkSession, d: str) -> DataFrame:
     return asof.nearest(control(spark, d, ()), frames(spark, d), "ride_id", "control_id", "frame_id", 100_000).select("control_id", "frame_id", "distance_us")
 
 
-@ref("ref_a02_odom_control", f"with {ODO}, {CMD}, o as (select traj_id * 100000 + idx as oid, traj_id, us from odo) {_asof_sql('o', 'oid', 'cmd', 'cidx', 'traj_id')}")
+@ref("ref_a02_odom_control", f"with {ODO}, {CMD}, o as (select struct_pack(traj_id := traj_id, idx := idx) as oid, traj_id, us from odo) {_asof_sql('o', 'oid', 'cmd', 'cidx', 'traj_id')}".replace("select oid, cidx", "select oid.traj_id as traj_id, oid.idx as idx, cidx"))
 def a02(spark: SparkSession, d: str) -> DataFrame:
     """Nearest command of every odometry row of a record, whatever the distance."""
-    o = odometry(spark, d).select("traj_id", (F.col("traj_id") * 100_000 + F.col("idx")).alias("oid"), "us")
-    return asof.nearest(o, commands(spark, d), "traj_id", "oid", "cidx").select("oid", "cidx", "distance_us")
+    return asof.nearest(odometry(spark, d), commands(spark, d), "traj_id", "idx", "cidx").select("traj_id", "idx", "cidx", "distance_us")
 
 
-@ref("ref_a03_odom_frame", f"with {ODO}, {FRM}, o as (select traj_id * 100000 + idx as oid, ride_id, us from odo) {_asof_sql('o', 'oid', 'frm', 'frame_id', 'ride_id')}")
+@ref("ref_a03_odom_frame", f"with {ODO}, {FRM}, o as (select struct_pack(traj_id := traj_id, idx := idx) as oid, ride_id, us from odo) {_asof_sql('o', 'oid', 'frm', 'frame_id', 'ride_id')}".replace("select oid, frame_id", "select oid.traj_id as traj_id, oid.idx as idx, frame_id"))
 def a03(spark: SparkSession, d: str) -> DataFrame:
-    o = odometry(spark, d).select("ride_id", (F.col("traj_id") * 100_000 + F.col("idx")).alias("oid"), "us")
-    return asof.nearest(o, frames(spark, d), "ride_id", "oid", "frame_id").select("oid", "frame_id", "distance_us")
+    o = odometry(spark, d).select("ride_id", F.struct("traj_id", "idx").alias("oid"), "us")
+    return asof.nearest(o, frames(spark, d), "ride_id", "oid", "frame_id").select("oid.traj_id", "oid.idx", "frame_id", "distance_us")
 
 
 @ref("ref_a04_anchor", f"with {CTL}, {FIX}, g as (select ride_id, min(us) as t from fix group by ride_id), c as (select ride_id, arg_min(struct_pack(i := control_id, u := us), (abs(us - t), us, control_id)) as a from ctl join g using (ride_id) group by ride_id) select ride_id, c.a.i as control_id, arg_min(gps_id, (abs(us - c.a.u), us, gps_id)) as gps_id from fix join c using (ride_id) group by ride_id, c.a")
@@ -299,8 +311,8 @@ def a04(spark: SparkSession, d: str) -> DataFrame:
 def a05(spark: SparkSession, d: str) -> DataFrame:
     """Nearest compass sample of every fix (JSON cells, no SQL)."""
     s = nested.sample_table(table(spark, d, "imu_data")).where("sensor = 'compass'")
-    s = s.select("ride_id", (F.col("imu_id") * 1000 + F.col("sample_idx")).alias("sid"), F.floor(F.col("timestamp") * 1e6 + 0.5).alias("us"))
-    return asof.nearest(fixes(spark, d), s, "ride_id", "gps_id", "sid").select("gps_id", "sid", "distance_us")
+    s = s.select("ride_id", F.struct("imu_id", "sample_idx").alias("sid"), F.floor(F.col("timestamp") * 1e6 + 0.5).alias("us"))
+    return asof.nearest(fixes(spark, d), s, "ride_id", "gps_id", "sid").select("gps_id", "sid.imu_id", "sid.sample_idx", "distance_us")
 
 
 @ref("ref_a06_forward", f"with {CTL}, {FIX}, rr as (select ride_id, us, min(control_id) as control_id from ctl group by ride_id, us), z as (select ride_id, arg_max(control_id, us) as zid from rr group by ride_id) select gps_id, coalesce(r.control_id, zid) as control_id from fix l asof left join rr r on l.ride_id = r.ride_id and l.us <= r.us join z on z.ride_id = l.ride_id")
@@ -358,10 +370,10 @@ def a13_all(spark: SparkSession, d: str) -> DataFrame:
     return signal.lagged_correlation(_series(spark, d), "a", "b").select("ride_id", "lag", "n", F.round("r", 5).alias("r"))
 
 
-@ref("ref_e02_alignment")
+@ref("ref_e02_alignment", f"with {_SPEED}{_LAGS.replace('range(-20, 20)', 'range(-100, 100)')}, q as (select ride_id, lag, case when va > 1e-9 and vb > 1e-9 then c / sqrt(va * vb) end as r from t), b as (select ride_id, bool_or(r is null) as undefined, arg_min(lag, (-r, lag)) as lag, max(r) as r from q group by ride_id) select ride_id, case when not undefined then lag end as lag, round(case when not undefined then r end, 5) as r, coalesce(not undefined and r > 0.7, false) as aligned from b")
 def e02(spark: SparkSession, d: str) -> DataFrame:
     """The lag of greatest correlation among 200, and whether it is above 0.7 (G13). ref_a13_all_lags holds the correlations against SQL."""
-    return signal.best_lag(signal.lagged_correlation(_series(spark, d), "a", "b"))
+    return signal.best_lag(signal.lagged_correlation(_series(spark, d), "a", "b")).withColumn("r", F.round("r", 5))
 
 
 @ref("ref_w15_shift", f"with {_SPEED} select x.ride_id, x.i as seq, round(x.a, 6) as a, y.b from s x join s y on x.ride_id = y.ride_id and y.i = x.i + 3")
@@ -483,9 +495,27 @@ def w04(spark: SparkSession, d: str) -> DataFrame:
 
 
 def integrate(rows: DataFrame) -> DataFrame:
-    """x, y, theta of every row by running sums. rows: ride_id, chunk, us, control_id, dt (s, from the row before), v and w to apply over it."""
-    th = running(rows, {"theta": F.col("w") * F.col("dt")})
-    return running(th, {"x": F.col("v") * F.cos("theta") * F.col("dt"), "y": F.col("v") * F.sin("theta") * F.col("dt")})
+    """x, y, theta of every row. rows: ride_id, chunk, us, control_id, dt (s, from the row before), v and w to apply over it; null terms count as 0. A column spin, if there, adds to theta without turning the way: whole turns.
+
+    Each time chunk is integrated from a pose of its own, in windows that need no second shuffle. The pose a chunk begins at comes
+    from one row a chunk (the headings' running sum turns the chunks' ways, theirs adds them up), and moves its rows into place.
+    """
+    keys, last = ["ride_id", "chunk"], F.struct("us", "control_id")
+    w = Window.partitionBy(*keys).orderBy("us", "control_id").rowsBetween(Window.unboundedPreceding, 0)
+    total = lambda c: F.sum(F.coalesce(c, F.lit(0.0))).over(w)
+    way = F.col("v") * F.col("dt")
+    spin = F.col("spin") if "spin" in rows.columns else F.lit(0.0)
+    local = rows.withColumns({"_t": total(F.col("w") * F.col("dt")), "_s": total(spin)})
+    local = cut(local.withColumns({"_x": total(way * F.cos("_t")), "_y": total(way * F.sin("_t"))}), "local")
+    before = Window.partitionBy("ride_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    start = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0.0))
+    pose = local.groupBy(*keys).agg(F.max_by(F.struct("_t", "_s", "_x", "_y"), last).alias("_e")).select(*keys, "_e.*").withColumns({"_t0": start("_t"), "_s0": start("_s")})
+    turned = lambda x, y, t: (x * F.cos(t) - y * F.sin(t), x * F.sin(t) + y * F.cos(t))
+    x, y = turned(F.col("_x"), F.col("_y"), F.col("_t0"))
+    pose = pose.select(*keys, "_t0", "_s0", x.alias("_dx"), y.alias("_dy")).withColumns({"_x0": start("_dx"), "_y0": start("_dy")}).drop("_dx", "_dy")
+    x, y = turned(F.col("_x"), F.col("_y"), F.col("_t0"))
+    out = local.join(pose, keys).withColumns({"x": F.col("_x0") + x, "y": F.col("_y0") + y, "theta": F.col("_t0") + F.col("_t") + F.col("_s0") + F.col("_s")})
+    return out.drop("spin", "_t", "_s", "_x", "_y", "_t0", "_s0", "_x0", "_y0")
 
 
 def _dead_reckoning(spark: SparkSession, d: str, wheels: bool) -> DataFrame:
@@ -493,13 +523,21 @@ def _dead_reckoning(spark: SparkSession, d: str, wheels: bool) -> DataFrame:
     v, w = wheel_speed(*(F.col(x) for x in WHEELS), RPM) if wheels else command_speed(F.col("linear"), F.col("angular"), RPM)
     p = previous(c.withColumn("v", v).withColumn("w", w), ["us", "v", "w"])
     use = ["v", "w"] if wheels else ["prev.v", "prev.w"]
-    rows = p.select("ride_id", "chunk", "us", "control_id", ((F.col("us") - F.col("prev.us")) / 1e6).alias("dt"), F.col(use[0]).alias("v"), F.col(use[1]).alias("w"), F.col("prev").isNotNull().alias("_later"))
+    dt, w = (F.col("us") - F.col("prev.us")) / 1e6, F.col(use[1])
+    # an impossible wheel speed turns the robot round millions of times in a step: the way is turned by the rest only, which stays exact
+    spin = F.floor(w * dt / _TURN) * _TURN
+    w, cols = (F.when(dt > 0, (w * dt - spin) / dt).otherwise(0.0), [spin.alias("spin")]) if wheels else (w, [])
+    rows = p.select("ride_id", "chunk", "us", "control_id", dt.alias("dt"), F.col(use[0]).alias("v"), w.alias("w"), *cols, F.col("prev").isNotNull().alias("_later"))
     return integrate(rows).where("_later").select("control_id", *[F.round(x, 2).alias(x) for x in ("x", "y", "theta")])
 
 
+_TURN = 2 * math.pi
+
+
 def _reckon_sql(v: str, w: str, lagged: bool) -> str:
     a, b = (f"lag({v}) over {_ORD}", f"lag({w}) over {_ORD}") if lagged else (v, w)
-    return f"with {CLN}, s as (select ride_id, control_id, us, (us - lag(us) over {_ORD}) / 1e6 as dt, {a} as v, {b} as w from cln where abs(rpm_1) <= 1000), t as (select *, sum(w * dt) over {_ORD} as theta from s), u as (select *, sum(v * cos(theta) * dt) over {_ORD} as x, sum(v * sin(theta) * dt) over {_ORD} as y from t) select control_id, round(x, 2) as x, round(y, 2) as y, round(theta, 2) as theta from u where dt is not null"
+    turn = "w * dt" if lagged else f"w * dt - floor(w * dt / {_TURN!r}) * {_TURN!r}"
+    return f"with {CLN}, s as (select ride_id, control_id, us, (us - lag(us) over {_ORD}) / 1e6 as dt, {a} as v, {b} as w from cln), t as (select *, sum({turn}) over {_ORD} as heading, sum(w * dt) over {_ORD} as theta from s), u as (select *, sum(v * dt * cos(heading)) over {_ORD} as x, sum(v * dt * sin(heading)) over {_ORD} as y from t) select control_id, round(x, 2) as x, round(y, 2) as y, round(theta, 2) as theta from u where dt is not null"
 
 
 @ref("ref_w05_integrate", _reckon_sql("(linear * 0.83)", "((angular - 0.0) * 0.9)", True))
@@ -525,9 +563,9 @@ def w06(spark: SparkSession, d: str) -> DataFrame:
     return g.groupBy("ride_id", "island").agg(F.min(at).alias("a"), F.max(at).alias("b"), F.count(F.lit(1)).alias("n")).select("ride_id", F.col("a.control_id").alias("first_id"), F.col("b.control_id").alias("last_id"), "n")
 
 
-_REC = f"{ODO}, {CMD}, o as (select traj_id * 100000 + idx as oid, traj_id, idx, us from odo)"
+_REC = f"{ODO}, {CMD}, o as (select struct_pack(traj_id := traj_id, idx := idx) as oid, traj_id, us from odo)"
 _WITH_CMD = _asof_sql("o", "oid", "cmd", "cidx", "traj_id").replace("select oid, cidx, distance_us from n where cidx is not null", "").strip()
-_STILL = f"with {_REC} {_WITH_CMD}, q as (select odo.traj_id, odo.idx, odo.us, coalesce(isfinite(linear) and isfinite(angular) and abs(linear) < 0.05 and abs(angular) < 0.05, false) as still, coalesce(isfinite(linear) and isfinite(angular) and abs(linear) > 0.1 and angular < 0.05, false) as straight from odo join n on n.oid = odo.traj_id * 100000 + odo.idx join cmd on cmd.traj_id = odo.traj_id and cmd.cidx = n.cidx)"
+_STILL = f"with {_REC} {_WITH_CMD}, q as (select odo.traj_id, odo.idx, odo.us, coalesce(isfinite(linear) and isfinite(angular) and abs(linear) < 0.05 and abs(angular) < 0.05, false) as still, coalesce(isfinite(linear) and isfinite(angular) and abs(linear) > 0.1 and angular < 0.05, false) as straight from odo join n on n.oid.traj_id = odo.traj_id and n.oid.idx = odo.idx join cmd on cmd.traj_id = odo.traj_id and cmd.cidx = n.cidx)"
 
 
 def _with_commands(spark: SparkSession, d: str) -> DataFrame:
@@ -540,17 +578,44 @@ def _with_commands(spark: SparkSession, d: str) -> DataFrame:
     return near.select("traj_id", "idx", "us", (ok & resample.paused(a, b)).alias("paused"), (ok & resample.straight(a, b)).alias("straight"))
 
 
-@ref("ref_w07_pauses", _STILL + ", c as (select *, case when lag(still) over w = still then 0 else 1 end as ch, lead(idx) over w as ni, lead(us) over w as nu from q window w as (partition by traj_id order by idx)), g as (select *, sum(ch) over (partition by traj_id order by idx) as run from c) select traj_id, min(idx) as start_idx, coalesce(arg_max(ni, idx), max(idx)) as end_idx, round((coalesce(max_by(nu, idx), max_by(us, idx)) - min_by(us, idx)) / 1e6, 6) as pause_s from g where still group by traj_id, run".replace("arg_max(ni, idx)", "arg_max_null(ni, idx)").replace("max_by(nu, idx)", "arg_max_null(nu, idx)"))
+_FIN = "fin as (select traj_id, cidx, us, abs(linear) < 0.05 and abs(angular) < 0.05 as still from cmd where isfinite(linear) and isfinite(angular))"
+_PAUSE = f"with {_REC}, {_FIN} {_asof_sql('o', 'oid', 'fin', 'cidx', 'traj_id').replace('select oid, cidx, distance_us from n where cidx is not null', '').strip()}" + """,
+mv as (select *, min(case when not still then cidx end) over (partition by traj_id order by cidx rows between 1 following and unbounded following) as nm, max(cidx) over (partition by traj_id) as lastc from fin),
+met as (select n.oid.traj_id as traj_id, n.oid.idx as idx, mv.cidx, still, mv.us as c_us, coalesce(nm, lastc) as end_cidx from n join mv on mv.traj_id = n.oid.traj_id and mv.cidx = n.cidx),
+ps as (select traj_id, end_cidx, min(idx) as start_idx, arg_min(cidx, idx) as start_cidx, arg_min(c_us, idx) as start_us from met where still group by traj_id, end_cidx),
+rs as (select ps.traj_id, ps.end_cidx, arg_min(met.idx, (abs(met.cidx - ps.end_cidx), met.cidx, met.idx)) as end_idx from ps join met on met.traj_id = ps.traj_id group by ps.traj_id, ps.end_cidx),
+pauses as (select ps.traj_id, start_idx, end_idx, start_cidx, ps.end_cidx, round((fin.us - start_us) / 1e6, 6) as pause_s from ps join rs on rs.traj_id = ps.traj_id and rs.end_cidx = ps.end_cidx join fin on fin.traj_id = ps.traj_id and fin.cidx = ps.end_cidx),
+removed as (select distinct traj_id, unnest(range(start_idx, end_idx)) as idx from pauses),
+q as (select distinct traj_id, idx from met)"""
+
+
+def _on_control(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Odometry rows with their nearest finite command (traj_id, idx, cidx), and the pauses that they meet."""
+    c = commands(spark, d).where(finite(F.col("linear")) & finite(F.col("angular")))
+    near = asof.nearest(odometry(spark, d), c, "traj_id", "idx", "cidx").select("traj_id", "idx", "cidx")
+    return near, resample.pauses(near, c.withColumn("still", resample.paused(F.col("linear"), F.col("angular"))))
+
+
+@ref("ref_w07_pauses", _PAUSE + " select * from pauses")
 def w07(spark: SparkSession, d: str) -> DataFrame:
-    """Pauses of records with their duration (G11 averages them)."""
-    r = resample.runs_of(_with_commands(spark, d), "paused")
-    return r.select("traj_id", "start_idx", "end_idx", r6((F.col("end_us") - F.col("start_us")) / 1e6).alias("pause_s"))
+    """Pauses of the command rows of records, from the command of the first odometry row in them to the first moving one, and the odometry rows they cover."""
+    r = _on_control(spark, d)[1]
+    return r.select("traj_id", "start_idx", "end_idx", "start_cidx", "end_cidx", r6((F.col("end_us") - F.col("start_us")) / 1e6).alias("pause_s"))
 
 
-@ref("ref_w08_without_pauses", _STILL + ", k as (select * from (select *, idx = max(idx) over (partition by traj_id) as z from q) where not still or z), m as (select traj_id, idx, row_number() over (partition by traj_id order by idx) - 1 as new_idx, count(*) over (partition by traj_id) as c from k) select traj_id, idx, new_idx from m where c >= 10")
+@ref("ref_w08_without_pauses", _PAUSE + ", m as (select traj_id, idx, row_number() over (partition by traj_id order by idx) - 1 as new_idx, count(*) over (partition by traj_id) as c from q anti join removed using (traj_id, idx)) select traj_id, idx, new_idx from m where c >= 10")
 def w08(spark: SparkSession, d: str) -> DataFrame:
     """Records without their pauses, renumbered; what is left of fewer than 10 rows is rejected."""
-    return resample.without_pauses(_with_commands(spark, d)).select("traj_id", "idx", "new_idx")
+    near, pauses = _on_control(spark, d)
+    return resample.renumbered(near.join(resample.removed(pauses), ["traj_id", "idx"], "left_anti")).select("traj_id", "idx", "new_idx")
+
+
+@ref("ref_w08_legacy")
+def w08_legacy(spark: SparkSession, d: str) -> DataFrame:
+    """The same as the reference's scan does it, with its early end and its one-row gaps (an ordered pass over a record, no SQL)."""
+    c = commands(spark, d).where(finite(F.col("linear")) & finite(F.col("angular")))
+    near = asof.nearest(odometry(spark, d), c, "traj_id", "idx", "cidx").select("traj_id", "idx", "cidx")
+    return resample.scanned(near, c.withColumn("still", resample.paused(F.col("linear"), F.col("angular"))))
 
 
 @ref("ref_w09_stride", f"with {ODO} select traj_id, idx from (select traj_id, idx, row_number() over (partition by traj_id order by idx) - 1 as k from odo) where k % 2 = 0")
@@ -570,7 +635,7 @@ select traj_id, idx from h, fac where p % (case when s then k else 4 end) = 0"""
 @ref("ref_w10_segments", _V2)
 def w10(spark: SparkSession, d: str) -> DataFrame:
     """Two-pass resampling: the dataset's mean straight spacing gives the stride on straights (A15, G10), 4 elsewhere."""
-    q = _with_commands(spark, d)
+    q = cut(_with_commands(spark, d), "commands")
     o = odometry(spark, d).select("traj_id", "idx", "x", "y")
     s = resample.spacing(q.join(o, ["traj_id", "idx"]))
     mean = s.agg(F.avg(F.when(F.col("straight") & finite(F.col("step_m")) & (F.col("step_m") > 0), F.col("step_m"))).alias("m"))
@@ -616,12 +681,11 @@ def o07(spark: SparkSession, d: str) -> DataFrame:
     return numbered(frames(spark, d), "i", order=("us", "frame_id")).where("i < 30 and i % 3 = 0").select("ride_id", "frame_id")
 
 
-@ref("ref_u02_removed_ranges", _STILL + ", z as (select *, max(idx) over (partition by traj_id) as m from q) select traj_id, idx from z where still and idx < m")
+@ref("ref_u02_removed_ranges", _PAUSE + " select traj_id, idx from removed semi join q using (traj_id, idx)")
 def u02(spark: SparkSession, d: str) -> DataFrame:
     """Indices of the removed ranges, from their starts and ends (element lists of a range join)."""
-    q = _with_commands(spark, d)
-    r = resample.runs_of(q, "paused").where("end_idx > start_idx")
-    return r.select("traj_id", F.explode(F.sequence("start_idx", F.col("end_idx") - 1)).alias("idx")).join(q.select("traj_id", "idx"), ["traj_id", "idx"], "left_semi")
+    near, pauses = _on_control(spark, d)
+    return resample.removed(pauses).join(near.select("traj_id", "idx"), ["traj_id", "idx"], "left_semi")
 
 
 @ref("ref_u03_difference", "select ride_id from rides where ride_id in (select ride_id from gps_data) except select ride_id from front_camera_timestamps")
@@ -707,37 +771,58 @@ def mp1(spark: SparkSession, d: str) -> DataFrame:
 # --- estimation and pipelines
 
 
-@ref("ref_e01_filter")
-def e01(spark: SparkSession, d: str) -> DataFrame:
-    """Extended Kalman filter over wheels and positions, a leg at a time (order-dependent, no SQL; tests hold it against hand-worked vectors)."""
+def _filter_events(spark: SparkSession, d: str) -> DataFrame:
+    """Wheel speeds (kind 1) and projected positions (kind 0) of every ride."""
     c = clean_control(spark, d)
     v, w = wheel_speed(*(F.col(x) for x in WHEELS), RPM)
-    c = c.select("ride_id", "us", F.lit(0).alias("kind"), v.alias("v"), w.alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    c = c.select("ride_id", "us", F.lit(ekf.CONTROL).alias("kind"), F.col("control_id").alias("id"), v.alias("v"), w.alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
     g = fixes(spark, d).withColumn("zone", F.expr(geo.zone("latitude", "longitude")))
-    g = g.select("ride_id", "us", F.lit(1).alias("kind"), F.lit(0.0).alias("v"), F.lit(0.0).alias("w"), F.expr(_UTM[0]).alias("x"), F.expr(_UTM[1]).alias("y"))
-    return ekf.filtered_track(ekf.legs(chunked(c.unionByName(g))))
+    g = g.select("ride_id", "us", F.lit(ekf.POSITION).alias("kind"), F.col("gps_id").alias("id"), F.lit(0.0).alias("v"), F.lit(0.0).alias("w"), F.expr(_UTM[0]).alias("x"), F.expr(_UTM[1]).alias("y"))
+    return c.unionByName(g)
 
 
-@ref("ref_vrpm_track")
-def vrpm(spark: SparkSession, d: str) -> DataFrame:
-    """The newest converter as one plan: clean, clock offset, cutoff at the first frame, one row a time, nearest frame within
-    0.1 s, integrated commands, first row dropped, masked duplicate frames. Its stages are held against SQL one by one.
-    """
-    c = clean_control(spark, d).withColumn("us", F.col("us") + RPM.control_offset_us).drop("chunk")
-    f = frames(spark, d)
+@ref("ref_e01_filter")
+def e01(spark: SparkSession, d: str) -> DataFrame:
+    """Extended Kalman filter over wheels and positions of a whole ride (order-dependent, no SQL; tests hold it against hand-worked vectors)."""
+    return ekf.filtered_track(_filter_events(spark, d))
+
+
+@ref("ref_e01_legs")
+def e01_legs(spark: SparkSession, d: str) -> DataFrame:
+    """The same starting anew after every pause of ten minutes."""
+    return ekf.filtered_track(ekf.legs(chunked(_filter_events(spark, d))), entity=("ride_id", "leg"))
+
+
+def _on_frames(c: DataFrame, f: DataFrame, wheels: bool) -> DataFrame:
+    """Readings of rides as a track at the frames: clock offset, cutoff at the first frame, one row a time, nearest frame within 0.1 s, integrated speeds, first row dropped, one row a frame."""
+    c = c.withColumn("us", F.col("us") + RPM.control_offset_us)
     t0 = f.groupBy("ride_id").agg(F.min_by("us", "frame_id").alias("t0"))
     c = c.join(t0, "ride_id").where("us - t0 >= -100000").drop("t0")
-    c = chunked(c.groupBy("ride_id", "us").agg(F.min_by(F.struct("control_id", "linear", "angular"), "control_id").alias("s")).select("ride_id", "us", "s.*"))
+    own = F.struct("control_id", "linear", "angular", *WHEELS)
+    c = chunked(c.groupBy("ride_id", "us").agg(F.min_by(own, "control_id").alias("s")).select("ride_id", "us", "s.*"))
     hit = asof.nearest(c, f, "ride_id", "control_id", "frame_id", 100_000).select("control_id", "frame_id", "right_us")
     c = c.join(hit, "control_id")
-    v, w = command_speed(F.col("linear"), F.col("angular"), RPM)
+    v, w = wheel_speed(*(F.col(x) for x in WHEELS), RPM) if wheels else command_speed(F.col("linear"), F.col("angular"), RPM)
+    use = ["v", "w"] if wheels else ["prev.v", "prev.w"]
     p = previous(c.withColumn("v", v).withColumn("w", w), ["us", "v", "w"], settle=True)
-    rows = p.select("ride_id", "chunk", "us", "control_id", "frame_id", "right_us", ((F.col("us") - F.col("prev.us")) / 1e6).alias("dt"), F.col("prev.v").alias("v"), F.col("prev.w").alias("w"), F.col("prev").isNotNull().alias("_later"))
+    rows = p.select("ride_id", "chunk", "us", "control_id", "frame_id", "right_us", ((F.col("us") - F.col("prev.us")) / 1e6).alias("dt"), F.col(use[0]).alias("v"), F.col(use[1]).alias("w"), F.col("prev").isNotNull().alias("_later"))
     track = integrate(rows).where("_later")
     first = F.row_number().over(Window.partitionBy("ride_id", "frame_id").orderBy("us")) == 1
     return track.withColumn("_first", first).where("_first").select("ride_id", "control_id", "frame_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), F.round("theta", 3).alias("yaw"), F.col("right_us").alias("frame_us"))
 
 
+@ref("ref_vrpm_track")
+def vrpm(spark: SparkSession, d: str) -> DataFrame:
+    """The newest converter as one plan, commands integrated. Its stages are held against SQL one by one; like the reference it finds a lag and does not apply it."""
+    return _on_frames(clean_control(spark, d).drop("chunk"), frames(spark, d), wheels=False)
+
+
+@ref("ref_vrpm_aligned")
+def vrpm_aligned(spark: SparkSession, d: str) -> DataFrame:
+    """The same with the lag of ref_e02 applied: wheel speeds, moved onto the commands they answer, are integrated."""
+    return _on_frames(w15_aligned(spark, d), frames(spark, d), wheels=True)
+
+
 # --- the rest of the inventory
 
 
@@ -762,6 +847,14 @@ def g11(spark: SparkSession, d: str) -> DataFrame:
     return w07(spark, d).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("pause_s")).alias("mean_s"))
 
 
+@ref("ref_g11_running", "with p as (select traj_id, count(*) as n, sum(pause_s) as s from (" + SQL["ref_w07_pauses"] + ") group by traj_id) select traj_id, sum(n) over (order by traj_id)::bigint as n, round(sum(s) over (order by traj_id) / sum(n) over (order by traj_id), 6) as mean_s from p")
+def g11_running(spark: SparkSession, d: str) -> DataFrame:
+    """The mean of all pauses up to each record, by traj_id (a running mean over the whole dataset, in blocks of records)."""
+    p = w07(spark, d).groupBy("traj_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("pause_s").alias("_s")).withColumns({"one": F.lit(1), "chunk": F.floor(F.col("traj_id") / F.lit(4_096))})
+    r = running(p, {"n": F.col("_n"), "s": F.col("_s")}, ("one",), ("traj_id",))
+    return r.select("traj_id", "n", r6(F.col("s") / F.col("n")).alias("mean_s"))
+
+
 @ref("ref_g17_rejects", "select reason, count(*) as n from (" + SQL["ref_k10_rejected"] + ") group by reason")
 def g17(spark: SparkSession, d: str) -> DataFrame:
     return k10(spark, d).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
@@ -786,10 +879,11 @@ def f12(spark: SparkSession, d: str) -> DataFrame:
     return g.groupBy("ride_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("latitude").between(-80, 84) & F.col("longitude").between(-180, 180)).alias("n_ok"))
 
 
-@ref("ref_a11_kept", _STILL + ", z as (select *, max(idx) over (partition by traj_id) as m from q) select traj_id, idx from z where not (still and idx < m)")
+@ref("ref_a11_kept", _PAUSE + " select traj_id, idx from q anti join removed using (traj_id, idx)")
 def a11(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose index is not among the removed ones (anti join)."""
-    return _with_commands(spark, d).select("traj_id", "idx").join(u02(spark, d), ["traj_id", "idx"], "left_anti")
+    near, pauses = _on_control(spark, d)
+    return near.select("traj_id", "idx").join(resample.removed(pauses), ["traj_id", "idx"], "left_anti")
 
 
 @ref("ref_a15_against_mean", f"with {_GOOD}, a as (select avg(step) as m from s), r as (select traj_id, avg(step) as step from s group by traj_id) select traj_id, round(step / m, 4) as ratio from r, a where step is not null")

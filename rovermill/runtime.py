@@ -12,19 +12,42 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under spark.checkpoint.dir, which every executor can reach.
-
-    The setting is read from the session; tables written there live as long as that folder. Only where it is unset (local
-    tests) a temporary folder of this machine is made, set, and removed at the end.
-    """
+def shared_root(spark: SparkSession) -> str:
+    """The folder spark.checkpoint.dir names, read from the session. Only a local session without it gets a temporary folder of this machine; a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that every executor can reach")
         own = tempfile.mkdtemp(prefix="rovermill-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         root = "file://" + own
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return root.rstrip("/")
+
+
+def file_system(spark: SparkSession, path: str):  # noqa: ANN201
+    """The file system of a path and the path, both of the JVM."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder in this application's own folder under shared_root; that folder is removed when the application ends."""
+    home = f"{shared_root(spark)}/rovermill-{spark.sparkContext.applicationId}"
+    fs, p = file_system(spark, home)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
+def output_dir(spark: SparkSession, path: str, overwrite: bool = False) -> str:
+    """An output folder by the converters' policy: with overwrite what is there is removed first, without it is kept and added to."""
+    fs, p = file_system(spark, path)
+    if overwrite and fs.exists(p):
+        fs.delete(p, True)
+    fs.mkdirs(p)
+    return path.rstrip("/")
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:

@@ -64,41 +64,74 @@ def test_pauses(spark):
     df = records(spark, 14, {4, 5, 6}, "paused")
     r = resample.runs_of(df, "paused").first()
     assert (r.start_idx, r.end_idx, (r.end_us - r.start_us) / 1e6) == (4, 7, 3.0)
-    assert [r.idx for r in resample.without_pauses(df).orderBy("idx").collect()] == [0, 1, 2, 3, *range(7, 14)]
-    assert resample.without_pauses(records(spark, 12, {4, 5, 6}, "paused")).count() == 0
     assert resample.runs_of(df.limit(0), "paused").count() == 0
 
 
-def test_filter_vectors():
-    ct, one, zero = np.array([0.0, 1, 2]), np.ones(3), np.zeros(3)
-    gt, g0 = np.array([0.0, 1.5]), np.zeros(2)
-    out = ekf.run_filter(ct, one, zero, gt, g0, g0, ekf.FilterRules())
-    assert np.allclose(out, [(0, 0, 0, 0), (0.819672, 0, 0, 1), (0.819672, 0, 0, 1)], atol=1e-6)
-    out = ekf.run_filter(ct, one, zero, gt, g0, g0, ekf.FilterRules(far_first=True))
-    assert np.allclose(out, [(0, 0, 0, 0), (0, 0, 0, 1), (0, 0, 0, 2)])
-    assert len(ekf.run_filter(ct[:0], one[:0], zero[:0], gt, g0, g0, ekf.FilterRules())) == 0
-
-
-def test_correlation_of_constant_series(spark):
-    rows = [(1, i, 5.0, float(i % 7)) for i in range(60)] + [(2, i, float((i * i) % 11), float(((i - 3) ** 2) % 11) if i >= 3 else 0.0) for i in range(60)]
-    df = spark.createDataFrame(rows, "ride_id long, seq long, a double, b double")
-    best = {r.ride_id: r for r in signal.best_lag(signal.lagged_correlation(df, "a", "b", (-10, 10), span=16)).collect()}
-    assert not best[1].aligned and best[1].lag is None
-    assert best[2].lag == -3 and best[2].aligned
-    moved = signal.shifted(df.where("ride_id = 2"), spark.createDataFrame([(2, 2)], "ride_id long, lag long"), ["b"], ["a"])
-    assert moved.count() == 58
+def controls(spark, n, still):
+    """Four control rows a second, odometry rows at every fourth of them."""
+    c = spark.createDataFrame([(1, i, i * 250_000, i in still) for i in range(n)], "traj_id long, cidx long, us long, still boolean")
+    near = spark.createDataFrame([(1, i, 4 * i) for i in range(-(-n // 4))], "traj_id long, idx long, cidx long")
+    return near, c
+
+
+def test_pauses_of_control_rows(spark):
+    # still from 15 to 26: odometry row 4 (control row 16) is the first in it, control row 27 moves, nearest to odometry row 7
+    near, c = controls(spark, 80, set(range(15, 27)) | {41, 42})
+    r = resample.pauses(near, c).collect()
+    assert [(q.start_idx, q.end_idx, q.start_cidx, q.end_cidx, (q.end_us - q.start_us) / 1e6) for q in r] == [(4, 7, 16, 27, 2.75)]
+    gone = resample.removed(resample.pauses(near, c))
+    assert sorted(q.idx for q in gone.collect()) == [4, 5, 6]
+    kept = resample.renumbered(near.join(gone, ["traj_id", "idx"], "left_anti")).orderBy("new_idx").collect()
+    assert [(q.new_idx, q.idx) for q in kept] == list(enumerate([0, 1, 2, 3, *range(7, 20)]))
+    # a pause up to the end ends at the last control row
+    near, c = controls(spark, 48, set(range(30, 48)))
+    assert [(q.start_idx, q.end_idx, q.end_cidx) for q in resample.pauses(near, c).collect()] == [(8, 11, 47)]
+    assert resample.renumbered(near.where("idx < 9")).count() == 0
+    assert resample.pauses(near.limit(0), c.limit(0)).count() == 0
+
+
+def test_scanned_pauses_keep_their_quirks(spark):
+    # two pauses with one row between: that row's data is the row its pause began at
+    near, c = controls(spark, 80, set(range(15, 27)) | set(range(30, 43)))
+    rows = resample.scanned(near, c).orderBy("new_idx").collect()
+    data, images = [r.idx for r in rows if r.idx is not None], [r.image_idx for r in rows if r.image_idx is not None]
+    assert data == [0, 1, 2, 3, 8, *range(11, 20)] and images == [0, 1, 2, 3, 7, *range(11, 20)]
+    # the row a pause ends at is not tested again
+    near, c = controls(spark, 80, set(range(16, 26)) | {28, 29, 30, 31, 32, 33})
+    assert [r.idx for r in resample.scanned(near, c).orderBy("new_idx").collect()] == [0, 1, 2, 3, *range(7, 20)]
+
+
+def krueger(lat, lon, zone):
+    """UTM by the sixth-order series in the third flattening (conformal latitude, then complex sines): another derivation than the operator's."""
+    a, f = 6378137.0, 1 / 298.257223563
+    n, e = f / (2 - f), math.sqrt(f * (2 - f))
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64 + n**6 / 256)
+    alpha = [
+        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180 - 127 * n**5 / 288 + 7891 * n**6 / 37800,
+        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440 + 281 * n**5 / 630 - 1983433 * n**6 / 1935360,
+        61 * n**3 / 240 - 103 * n**4 / 140 + 15061 * n**5 / 26880 + 167603 * n**6 / 181440,
+        49561 * n**4 / 161280 - 179 * n**5 / 168 + 6601661 * n**6 / 7257600,
+        34729 * n**5 / 80640 - 3418889 * n**6 / 1995840,
+        212378941 * n**6 / 319334400,
+    ]
+    p, l = math.radians(lat), math.radians(lon - (6 * zone - 183))
+    t = math.sinh(math.atanh(math.sin(p)) - e * math.atanh(e * math.sin(p)))
+    xi, eta = math.atan2(t, math.cos(l)), math.asinh(math.sin(l) / math.hypot(t, math.cos(l)))
+    north = xi + sum(c * math.sin(2 * j * xi) * math.cosh(2 * j * eta) for j, c in enumerate(alpha, 1))
+    east = eta + sum(c * math.cos(2 * j * xi) * math.sinh(2 * j * eta) for j, c in enumerate(alpha, 1))
+    return 500_000 + 0.9996 * radius * east, 0.9996 * radius * north + (10_000_000 if lat < 0 else 0)
 
 
 def test_utm(spark):
-    # published example positions, to the metre
-    rows = [(48.8582, 2.2945), (-33.8568, 151.2153), (60.39, 5.32), (0.0, 3.0), (91.0, 0.0)]
-    z = spark.createDataFrame(rows, "lat double, lon double").withColumn("zone", F.expr(geo.zone("lat", "lon")))
-    e, n = geo.utm("lat", "lon", "zone")
-    out = [(r.zone, r.e, r.n) for r in z.select("zone", F.expr(e).alias("e"), F.expr(n).alias("n")).collect()]
-    assert [o[0] for o in out] == [31, 56, 32, 31, None]
-    assert out[0][1] == pytest.approx(448_252, abs=1.5) and out[0][2] == pytest.approx(5_411_933, abs=15)
-    assert out[3][1] == pytest.approx(500_000, abs=0.01) and out[3][2] == pytest.approx(0, abs=0.01)
-    assert 6_000_000 < out[1][2] < 6_300_000
+    # a published example of a public geodesy library: 33.3 N 44.4 E lies at 444140.54 E 3684706.36 N in zone 38
+    assert np.allclose(krueger(33.3, 44.4, 38), (444140.54, 3684706.36), atol=0.006)
+    rng = np.random.default_rng(4)
+    rows = [(33.3, 44.4), (0.0, 0.0), (-33.9, 151.2), (51.5, -0.0001), (45.0, 5.9999), (45.0, 6.0), (-79.9, 12.3), (83.9, -170.0), *[(float(a), float(b)) for a, b in zip(rng.uniform(-79, 83, 200), rng.uniform(-179, 179, 200), strict=True)]]
+    z = spark.createDataFrame(rows, "latitude double, longitude double").withColumn("zone", F.expr(geo.zone("latitude", "longitude")))
+    e, n = geo.utm("latitude", "longitude", "zone")
+    for r in z.select("*", F.expr(e).alias("e"), F.expr(n).alias("n")).collect():
+        want = krueger(r.latitude, r.longitude, r.zone)
+        assert abs(r.e - want[0]) < 0.001 and abs(r.n - want[1]) < 0.001, (r, want)
 
 
 def test_crop():
@@ -178,3 +211,60 @@ def test_all_lags_and_alignment(spark, tmp_path):
     one, two = ([r for r in out if r.ride_id == k] for k in (1, 2))
     assert len(one) == 270 and all(r.seq == r.control_id - 1000 + 30 and r.rpm_1 == pytest.approx(40 * r.linear) for r in one)
     assert len(two) == 300 and all(r.seq == r.control_id - 2000 for r in two)
+
+
+def events_of(rng, n=400, m=150, ride=1):
+    """Control rows and positions at irregular times, some of equal time, with pauses in both."""
+    ct = np.round(np.cumsum(rng.choice([0.1, 0.2, 1.0, 9.0], n, p=[0.5, 0.4, 0.09, 0.01])), 1)
+    gt = np.round(np.cumsum(rng.choice([0.3, 0.6, 5.0], m, p=[0.6, 0.35, 0.05])) + rng.choice([-5.0, 0.0, 5.0]), 1) + 0.03
+    v = np.where(rng.random(n) < 0.2, 0.0, rng.normal(1, 0.2, n))
+    w = np.where(v == 0, 0.0, rng.normal(0, 0.1, n))
+    rows = [(ride, int(round(t * 1e6)), 1, i, float(a), float(b), 0.0, 0.0) for i, (t, a, b) in enumerate(zip(ct, v, w, strict=True))]
+    rows += [(ride, int(round(t * 1e6)), 0, i, 0.0, 0.0, float(i), float(i % 7)) for i, t in enumerate(gt)]
+    return rows, (ct, v, w, gt, np.arange(m) * 1.0, np.arange(m) % 7 * 1.0)
+
+
+def by_rows(ct, v, w, gt, gx, gy, r):
+    """The pass as the inventory states it, over whole arrays, with the filter step of the operator."""
+    a = int(np.argmin(np.abs(ct - gt[0])))
+    first = g = int(np.argmin(np.abs(gt - ct[a])))
+    st, out = ekf.State(r), [(0.0, 0.0, 0.0, ct[a])]
+    for i in range(a + 1, len(ct) - a):
+        if g >= len(gt):
+            break
+        d, used = ct[i] - gt[g], False
+        if not (r.far_first and d >= r.near_s):
+            if 0 < d < r.near_s or g == first:
+                used = True
+                if v[i] or w[i]:
+                    st.step(v[i], w[i], ct[i] - ct[i - 1], gx[g] - gx[first], gy[g] - gy[first])
+                out.append((*st.s, ct[i]))
+                g += 1
+                if not (v[i] or w[i]):
+                    continue
+        if d >= r.near_s:
+            out.append((*st.s, ct[i]))
+            g += 1
+        assert used or d >= r.near_s or d <= 0
+    return np.array(out)
+
+
+@pytest.mark.parametrize("far_first", [False, True])
+def test_folded_filter_over_whole_rides(spark, far_first):
+    r = ekf.FilterRules(far_first=far_first)
+    rows, want = [], {}
+    for ride in range(1, 9):
+        mine, arrays = events_of(np.random.default_rng(ride), ride=ride)
+        rows += mine
+        want[ride] = by_rows(*arrays, r)
+        assert np.allclose(ekf.run_filter(*arrays, r), want[ride], atol=1e-7)
+    rows += [(99, 5, 1, 1, 1.0, 0.0, 0.0, 0.0), (98, 5, 0, 1, 0.0, 0.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "ride_id long, us long, kind int, id long, v double, w double, x double, y double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = ekf.filtered_track(df, r).orderBy("ride_id", "idx").toPandas()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got.ride_id) == set(want)
+    for ride, g in got.groupby("ride_id"):
+        assert np.allclose(np.c_[g.x, g.y, g.heading, g.us / 1e6], want[ride], atol=1e-5)

@@ -13,7 +13,7 @@ from rovermill.functions.cells import number, read_cell
 from rovermill.operators import compaction as c
 from rovermill.operators import nested
 from rovermill.operators.regular_grid import GridRules, filled, hankel_smooth, impute, missing_slots, regular_series
-from rovermill.runtime import shared_dir
+from rovermill.runtime import file_system, shared_dir
 
 REC = "rec_id long, ride_id long, stream string, payload string, timestamp string"
 
@@ -50,8 +50,8 @@ def test_failed_reconciliation_keeps_the_old_folder(spark, monkeypatch):
 def test_a_crash_between_the_renames_is_mended(spark):
     path = shared_dir(spark, "t") + "/x"
     c.compact(spark.range(5).toDF("a"), ["a"], path)
-    fs, at = c._fs(spark, path)
-    old = c._fs(spark, path + ".old")[1]
+    fs, at = file_system(spark, path)
+    old = file_system(spark, path + ".old")[1]
     assert fs.rename(at, old)
     c.recover(spark, path)
     assert spark.read.parquet(path).count() == 5 and not fs.exists(old)
