@@ -26,7 +26,7 @@ from rovermill.functions.timeline import micros
 from rovermill.runtime import cut, shared_dir
 
 LEFT, RIGHT, END = 0, 1, 2
-MATCHES = "traj_id long, odom_idx long, side string, match_id long, distance_us long"
+FOUND = "side string, owner array<long>, at array<long>, match array<long>, distance array<long>"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = "left_us binary, left_owner binary, left_id binary, right_us binary, right_id binary"
 
@@ -91,7 +91,7 @@ def _matcher(rules: NearestRules):  # noqa: ANN202
             fresh[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1])
             if len(order):
                 rows = hit[order[fresh]]
-                yield pd.DataFrame({"traj_id": own[fresh], "odom_idx": at[fresh], "side": key[0], "match_id": match[rows], "distance_us": dist[rows]})
+                yield pd.DataFrame({"side": key[0], "owner": [own[fresh]], "at": [at[fresh]], "match": [match[rows]], "distance": [dist[rows]]})
             lu, lo, li = lu[~due], lo[~due], li[~due]
         # candidates that no waiting and no coming left row can reach
         reach = min(int(lu.min()) if len(lu) else mark, mark) - tol if mark > 0 else None
@@ -148,7 +148,10 @@ def match_stream(stream: DataFrame, rules: NearestRules | None = None) -> DataFr
     if stream.schema["us"].dataType.typeName() == "long":
         stream = stream.withColumns({"us": F.array("us"), "ident": F.array("ident")})
     timed = stream.withColumn("at", F.timestamp_micros(F.array_min("us"))).withWatermark("at", r.lateness)
-    return timed.groupBy("side", "entity", "block").applyInPandasWithState(_matcher(r), MATCHES, STATE, "append", "EventTimeTimeout")
+    found = timed.groupBy("side", "entity", "block").applyInPandasWithState(_matcher(r), FOUND, STATE, "append", "EventTimeTimeout")
+    # a row for each call of the matcher, taken apart in the JVM
+    rows = found.select("side", F.explode(F.arrays_zip("owner", "at", "match", "distance")).alias("m"))
+    return rows.select(F.col("m.owner").alias("traj_id"), F.col("m.at").alias("odom_idx"), "side", F.col("m.match").alias("match_id"), F.col("m.distance").alias("distance_us"))
 
 
 def in_time_order(events: DataFrame, rules: NearestRules) -> tuple[str, int]:
