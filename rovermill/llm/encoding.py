@@ -1,10 +1,12 @@
-"""Token ids of a whole corpus by a public byte-level BPE vocabulary, every repeated stretch of text encoded once.
+"""Token ids of a whole corpus by a public byte-level BPE vocabulary, repeated stretches of text encoded once.
 
 Texts are cut where a rolling hash of the last characters meets a mask, so equal stretches give equal chunks wherever they
-stand. Each distinct chunk is encoded once, between its first and its last certain boundary: a place that no pre-token of the
-vocabulary's pattern can span, whatever stands around it. What remains at a join, from the last such place of one chunk to
-the first of a later one, is encoded anew; both ends being certain boundaries, the ids agree exactly with those of the
-whole text.
+stand. A chunk that documents share is encoded once, between its first and its last certain boundary: a place that no pre-token
+of the vocabulary's pattern can span, whatever stands around it. What remains at a join, from the last such place of one chunk to
+the first of a later one, is encoded anew; both ends being certain boundaries, the ids agree exactly with those of the whole text.
+
+A chunk goes to the encoder where it is first seen and its ids stay in that task's memory, of bounded size, for all documents the
+task reads. Tasks don't exchange chunks: encoding one costs less than shuffling it, so nothing is shuffled at all.
 """
 
 from __future__ import annotations
@@ -13,18 +15,16 @@ import base64
 import importlib.util
 import os
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rovermill.operators.chunks import map_groups
-from rovermill.runtime import cut, process_cache
+from rovermill.runtime import process_cache
 
 #: Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,11 +39,15 @@ def default_vocabulary() -> str:
 
 @dataclass(frozen=True)
 class EncodingRules:
-    """window: characters under the rolling hash; mask_bits: a chunk has about 2 ** mask_bits characters; vocabulary: path on every node, None for the installed one."""
+    """window: characters under the rolling hash; mask_bits: a chunk has about 2 ** mask_bits characters; vocabulary: path on every node, None for the installed one.
+
+    kept_chars: characters of chunks a task remembers; beyond, it forgets all and begins anew (chunks seen later are encoded again).
+    """
 
     window: int = 16
     mask_bits: int = 9
     vocabulary: str | None = None
+    kept_chars: int = 16_000_000
 
 
 def encoder(path: str | None):  # noqa: ANN201
@@ -112,38 +116,78 @@ def cut_points(points: np.ndarray, window: int, mask_bits: int) -> np.ndarray:
     total ^= total >> np.uint64(31)
     total *= np.uint64(0xBF58476D1CE4E5B9)
     hit = (total >> np.uint64(64 - mask_bits)) == 0
-    return np.flatnonzero(hit)[:] + window
-
-
-def chunks_of(text: str, rules: EncodingRules) -> list[str]:
-    p = cut_points(code_points(text), rules.window, rules.mask_bits).tolist()
-    edges = [0, *(q for q in p if q < len(text)), len(text)]
-    return [text[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-
-
-def parts_of(chunk: str) -> tuple[str, str | None, str]:
-    """head, middle, tail of a chunk; middle is None if the chunk has no certain boundary (then head is all of it)."""
-    b = certain_boundaries(code_points(chunk))
-    if len(b) == 0:
-        return chunk, None, ""
-    return chunk[: b[0]], chunk[b[0] : b[-1]], chunk[b[-1] :]
-
-
-def stitch(parts: list[tuple[str, list | np.ndarray | None, str]], encode) -> list[int]:  # noqa: ANN001
-    """Ids of a text from its chunks' (head, ids of the middle, tail): joins are encoded anew."""
-    out: list[int] = []
-    span = ""
-    for head, ids, tail in parts:
-        span += head
-        if ids is None:
-            continue
-        if span:
-            out.extend(encode(span))
-        out.extend(ids)
-        span = tail
-    if span:
-        out.extend(encode(span))
-    return out
+    return np.flatnonzero(hit) + window
+
+
+#: Characters whose hashes are in memory at a time.
+SLICE = 1 << 20
+
+
+def marks(points: np.ndarray, rules: EncodingRules) -> tuple[np.ndarray, np.ndarray]:
+    """cut_points and certain_boundaries of any number of code points, slice by slice."""
+    cuts, bounds = [np.zeros(0, int)], [np.zeros(0, int)]
+    for s in range(0, len(points), SLICE):
+        lo = max(0, s + 1 - rules.window)
+        cuts.append(lo + cut_points(points[lo : s + SLICE], rules.window, rules.mask_bits))
+        lo = max(0, s - 1)
+        bounds.append(lo + certain_boundaries(points[lo : s + SLICE]))
+    return np.concatenate(cuts), np.concatenate(bounds)
+
+
+class Encoder:
+    """Ids of texts by chunks, with the memory of one task."""
+
+    def __init__(self, rules: EncodingRules) -> None:
+        self.rules, self.encode = rules, encoder(rules.vocabulary).encode_ordinary
+        self.seen: dict[str, tuple[int, int, list[int]]] = {}
+        self.chars = self.encoded = self.reused = 0
+
+    def chunk(self, text: str, first: int, last: int) -> tuple[int, int, list[int]]:
+        """Where the middle of a chunk begins and ends, and its ids."""
+        hit = self.seen.get(text)
+        if hit is not None:
+            self.reused += 1
+            return hit
+        if self.chars > self.rules.kept_chars:
+            self.seen.clear()
+            self.chars = 0
+        self.encoded += 1
+        self.chars += len(text)
+        hit = self.seen[text] = first, last, self.encode(text[first:last])
+        return hit
+
+    def ids(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids of each text; the hashes of all are computed together."""
+        points = code_points("".join(texts))
+        cuts, bounds = marks(points, self.rules)
+        ends = np.cumsum([len(t) for t in texts])
+        starts = ends - [len(t) for t in texts]
+        # a cut counts if its window lies inside of one text, and if it doesn't end it
+        of = np.searchsorted(ends, cuts, "left")
+        cuts = cuts[(cuts - self.rules.window >= starts[of]) & (cuts < ends[of])]
+        edges = np.unique(np.r_[starts, cuts, ends])
+        first, last = np.searchsorted(bounds, edges[:-1], "right"), np.searchsorted(bounds, edges[1:], "left") - 1
+        known = np.r_[bounds, 0]
+        middle = np.where(first <= last, known[first] - edges[:-1], -1).tolist()
+        until = np.where(first <= last, known[last] - edges[:-1], -1).tolist()
+        place = np.searchsorted(edges, starts).tolist()
+        edges = edges.tolist()
+        for text, start, end, k in zip(texts, starts.tolist(), ends.tolist(), place, strict=True):
+            out: list[int] = []
+            open_ = 0
+            at = start
+            while at < end:
+                to = edges[k + 1]
+                if middle[k] >= 0:
+                    lo, hi, ids = self.chunk(text[at - start : to - start], middle[k], until[k])
+                    if at - start + lo > open_:
+                        out += self.encode(text[open_ : at - start + lo])
+                    out += ids
+                    open_ = at - start + hi
+                at, k = to, k + 1
+            if open_ < len(text):
+                out += self.encode(text[open_:])
+            yield out
 
 
 def encode_corpus(docs: DataFrame, rules: EncodingRules | None = None) -> DataFrame:
@@ -153,61 +197,28 @@ def encode_corpus(docs: DataFrame, rules: EncodingRules | None = None) -> DataFr
     repeated doc_id gives a row each.
     """
     r = rules or EncodingRules()
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()), ("key", pa.binary()), ("chunk", pa.string())])
-        row = TaskContext.get().partitionId() << 40
-        seen: set[bytes] = set()
-        cols: list[list] = [[] for _ in schema]
-        size = 0
-        for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                row += 1
-                if not text:
-                    for c, v in zip(cols, (row, doc_id, 0, None, None), strict=True):
-                        c.append(v)
-                    continue
-                for pos, chunk in enumerate(chunks_of(text, r)):
-                    key = xxhash.xxh3_128_digest(chunk.encode("utf-8", "surrogatepass"))
-                    new = key not in seen
-                    if new:
-                        # a bounded memory of what this task has sent already; the rest is joined by the shuffle
-                        if len(seen) > 500_000:
-                            seen.clear()
-                        seen.add(key)
-                        size += len(chunk)
-                    for c, v in zip(cols, (row, doc_id, pos, key, chunk if new else None), strict=True):
-                        c.append(v)
-                if size > 2_000_000 or len(cols[0]) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-                    cols, size = [[] for _ in schema], 0
-        if cols[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
-
-    def encode_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(r.vocabulary)
-        schema = pa.schema([("key", pa.binary()), ("head", pa.string()), ("mid", pa.list_(pa.int32())), ("tail", pa.string())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = Encoder(r)
         for b in batches:
-            head, mid, tail = [], [], []
-            for chunk in b.column(1).to_pylist():
-                h, m, t = parts_of(chunk)
-                head.append(h)
-                mid.append(None if m is None else enc.encode_ordinary(m))
-                tail.append(t)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.binary()), pa.array(head, pa.string()), pa.array(mid, pa.list_(pa.int32())), pa.array(tail, pa.string())], schema=schema)
-
-    def assemble(key: dict, a: dict) -> dict:
-        enc = encoder(r.vocabulary)
-        if len(a["head"]) == 1 and a["head"][0] is None:
-            return {"doc_id": a["doc_id"][:1], "ids": [[]]}
-        return {"doc_id": a["doc_id"][:1], "ids": [stitch(list(zip(a["head"], a["mid"], a["tail"], strict=True)), enc.encode_ordinary)]}
-
-    placed = cut(docs.select("doc_id", "text").mapInArrow(split, "row long, doc_id long, pos int, key binary, chunk string"), "chunks")
-    distinct = placed.where("chunk is not null").groupBy("key").agg(F.max("chunk").alias("chunk"))
-    coded = distinct.mapInArrow(encode_chunks, "key binary, head string, mid array<int>, tail string")
-    # a chunk that many texts share is a hot key: adaptive execution splits it, or broadcasts the coded side where that is small
-    whole = placed.drop("chunk").join(coded, "key", "left").drop("key")
-    return map_groups(whole, ["row"], ["pos"], assemble, "doc_id long, ids array<int>", flush_rows=500)
+            doc_ids, texts = b.column(0), [t or "" for t in b.column(1).to_pylist()]
+            lo = 0
+            while lo < len(texts):
+                # rows of about a slice of characters, at least one
+                hi, size = lo, 0
+                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= SLICE):
+                    size += len(texts[hi])
+                    hi += 1
+                flat, offsets = array("i"), [0]
+                for ids in enc.ids(texts[lo:hi]):
+                    flat.extend(ids)
+                    offsets.append(len(flat))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32)))
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo).cast(pa.int64()), lists], schema=schema)
+                lo = hi
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def token_counts(docs: DataFrame, rules: EncodingRules | None = None) -> DataFrame:

@@ -5,29 +5,43 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rovermill.llm.encoding import EncodingRules, chunks_of, encode_corpus, encoder, parts_of, stitch
+from rovermill.llm import encoding
+from rovermill.llm.encoding import Encoder, EncodingRules, encode_corpus, encoder
 from rovermill.llm.packing import PackingRules, best_fit, pack
 from rovermill.llm.sentences import sentences
 
 ALPHABET = st.text(alphabet=st.one_of(st.sampled_from(list("aab  \n\t''sre.,;12é字かก้🤖 　‍")), st.characters(exclude_categories=("Cs",))), max_size=300)
 
 
-def by_chunks(text, rules):
-    enc = encoder(None)
-    parts = []
-    for c in chunks_of(text, rules):
-        h, m, t = parts_of(c)
-        parts.append((h, None if m is None else enc.encode_ordinary(m), t))
-    return stitch(parts, enc.encode_ordinary)
-
-
 @settings(max_examples=400, deadline=None)
-@given(ALPHABET)
-def test_chunked_ids_agree(text):
-    for bits in (2, 4):
-        r = EncodingRules(window=3, mask_bits=bits)
-        assert "".join(chunks_of(text, r)) == text
-        assert by_chunks(text, r) == encoder(None).encode_ordinary(text)
+@given(st.lists(ALPHABET, max_size=5))
+def test_chunked_ids_agree(texts):
+    want = [encoder(None).encode_ordinary(t) for t in texts]
+    for bits, kept in ((2, 10), (4, 10_000)):
+        enc = Encoder(EncodingRules(window=3, mask_bits=bits, kept_chars=kept))
+        assert list(enc.ids(texts)) == want
+        # all again, from memory
+        assert list(enc.ids(texts[::-1])) == want[::-1]
+
+
+def test_slices_don_t_change_the_ids(monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("ab cd. 12'字\n"), 700)) for _ in range(8)]
+    want = [encoder(None).encode_ordinary(t) for t in texts]
+    for size in (17, 64, 1000):
+        monkeypatch.setattr(encoding, "SLICE", size)
+        assert list(Encoder(EncodingRules(window=5, mask_bits=3)).ids(texts)) == want
+
+
+def test_shared_chunks_are_encoded_once():
+    """Documents that hold a long stretch in common at different places: its chunks are taken from memory."""
+    rng = np.random.default_rng(3)
+    word = lambda n: " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(n))
+    shared = word(3000)
+    texts = [word(20 + 7 * k) + " " + shared + " " + word(30) for k in range(10)]
+    enc = Encoder(EncodingRules())
+    assert list(enc.ids(texts)) == [encoder(None).encode_ordinary(t) for t in texts]
+    assert enc.reused > 8 * enc.encoded / 3 and enc.encoded < 80
 
 
 def test_corpus(spark):
