@@ -2,7 +2,8 @@
 
 Left and right readings of an entity are buffered in keyed state. A left reading is emitted once the watermark has passed its
 tolerance horizon (no candidate can come any more), candidates out of reach of every waiting one are evicted. State is keyed by
-entity and time block; candidates near a block's border go to both blocks, so one long-lived entity is many small keys.
+time block and a hash of the entity; candidates near a block's border go to both blocks, so one long-lived entity is many keys, and
+many small entities share one, as a key costs far more than its readings.
 
 An event is a piece: readings of one entity and block in arrays, with the time of its earliest one. What comes later is never
 earlier than the watermark, so a reading past it is sure of its match, however long the pieces are. Stored tables are replayed
@@ -15,7 +16,7 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -26,21 +27,25 @@ from rovermill.functions.timeline import micros
 from rovermill.runtime import cut, shared_dir
 
 LEFT, RIGHT, END = 0, 1, 2
-FOUND = "side string, owner array<long>, at array<long>, match array<long>, distance array<long>"
+CODE = "case when side = 'camera' then 1 else 0 end"
+FOUND = "entity array<long>, owner array<long>, at array<long>, match array<long>, distance array<long>"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE = "left_us binary, left_owner binary, left_id binary, right_us binary, right_id binary"
+LEFTS, RIGHTS = ("us", "entity", "owner", "ident"), ("us", "entity", "ident")
+STATE = ", ".join([f"left_{c} binary" for c in LEFTS] + [f"right_{c} binary" for c in RIGHTS])
 
 
 @dataclass(frozen=True)
 class NearestRules:
-    """tolerance_us: inclusive; block_us: time covered by one state key; lateness: how far behind the newest event one may arrive.
+    """tolerance_us: inclusive; block_us: time covered by one state key; buckets: keys that share a block's entities; lateness: how far behind the newest event one may arrive.
 
-    For a replay: piece_us, the time of frames in one event; batch_readings, readings a micro-batch takes for each core of the
+    For a replay, which chooses buckets by key_readings, the readings of a key: piece_us, the time of frames in one event; batch_readings, readings a micro-batch takes for each core of the
     cluster; least_batches, how many micro-batches a small table is still split into.
     """
 
     tolerance_us: int = 100_000
-    block_us: int = 1_800_000_000
+    block_us: int = 21_600_000_000
+    buckets: int = 64
+    key_readings: int = 200_000
     lateness: str = "0 seconds"
     piece_us: int = 300_000_000
     batch_readings: int = 500_000
@@ -63,47 +68,54 @@ def nearest(left: np.ndarray, right: np.ndarray, ids: np.ndarray, tolerance: int
     return np.where(d <= tolerance, k[pick], -1), d
 
 
+def nearest_of(lu: np.ndarray, le: np.ndarray, ru: np.ndarray, re: np.ndarray, ids: np.ndarray, tolerance: int) -> tuple[np.ndarray, np.ndarray]:
+    """nearest within each entity: entities are laid out one behind the other, farther apart than the tolerance."""
+    if len(lu) == 0 or len(ru) == 0:
+        return nearest(lu, ru, ids, tolerance)
+    place = np.unique(np.r_[le, re], return_inverse=True)[1]
+    base = min(int(lu.min()), int(ru.min()))
+    span = max(int(lu.max()), int(ru.max())) - base + 2 * tolerance + 2
+    return nearest(lu - base + place[: len(le)] * span, ru - base + place[len(le) :] * span, ids, tolerance)
+
+
 def _matcher(rules: NearestRules):  # noqa: ANN202
     tol = rules.tolerance_us
-    empty = np.zeros(0, np.int64)
 
     def fold(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-        if state.exists:
-            lu, lo, li, ru, ri = (np.frombuffer(b, np.int64) for b in state.get)
-        else:
-            lu = lo = li = ru = ri = empty
+        had = [np.frombuffer(b, np.int64) for b in state.get] if state.exists else [np.zeros(0, np.int64)] * (len(LEFTS) + len(RIGHTS))
+        left, right = had[: len(LEFTS)], had[len(LEFTS) :]
         for f in frames:
             kind, size = f["kind"].to_numpy(), np.array([len(u) for u in f["us"]], np.int64)
-            m, n = kind == LEFT, kind == RIGHT
-            put = lambda old, col, rows: np.concatenate([old, *f[col].to_numpy()[rows]])  # noqa: B023, E731
-            lu, lo, li = put(lu, "us", m), np.r_[lo, np.repeat(f["owner"].to_numpy(np.int64)[m], size[m])], put(li, "ident", m)
-            ru, ri = put(ru, "us", n), put(ri, "ident", n)
+            for side, cols, which in ((left, LEFTS, kind == LEFT), (right, RIGHTS, kind == RIGHT)):
+                for k, c in enumerate(cols):
+                    v = f[c].to_numpy()[which]
+                    side[k] = np.concatenate([side[k], *v]) if c in ("us", "ident") else np.r_[side[k], np.repeat(v.astype(np.int64), size[which])]
         mark = state.getCurrentWatermarkMs() * 1000
-        due = np.ones(len(lu), bool) if state.hasTimedOut else lu + tol < mark
+        due = np.ones(len(left[0]), bool) if state.hasTimedOut else left[0] + tol < mark
         if due.any():
-            match, dist = nearest(lu[due], ru, ri, tol)
-            # a record that came twice counts once
+            lu, le, lo, li = (v[due] for v in left)
+            match, dist = nearest_of(lu, le, *right, tol)
+            # a reading that came twice counts once
             hit = np.flatnonzero(match >= 0)
-            own, at = lo[due][hit], li[due][hit]
-            order = np.lexsort((at, own))
-            own, at = own[order], at[order]
-            fresh = np.ones(len(order), bool)
-            fresh[1:] = (own[1:] != own[:-1]) | (at[1:] != at[:-1])
-            if len(order):
-                rows = hit[order[fresh]]
-                yield pd.DataFrame({"side": key[0], "owner": [own[fresh]], "at": [at[fresh]], "match": [match[rows]], "distance": [dist[rows]]})
-            lu, lo, li = lu[~due], lo[~due], li[~due]
-        # candidates that no waiting and no coming left row can reach
+            hit = hit[np.lexsort((li[hit], lo[hit], le[hit]))]
+            again = np.ones(len(hit), bool)
+            again[1:] = np.logical_or.reduce([v[hit][1:] != v[hit][:-1] for v in (le, lo, li)])
+            hit = hit[again]
+            if len(hit):
+                yield pd.DataFrame({"entity": [le[hit]], "owner": [lo[hit]], "at": [li[hit]], "match": [match[hit]], "distance": [dist[hit]]})
+            left = [v[~due] for v in left]
+        lu, ru = left[0], right[0]
+        # candidates that no waiting and no coming left reading can reach
         reach = min(int(lu.min()) if len(lu) else mark, mark) - tol if mark > 0 else None
         if reach is not None:
-            keep = ru >= reach
-            ru, ri = ru[keep], ri[keep]
+            right = [v[ru >= reach] for v in right]
+            ru = right[0]
         if state.hasTimedOut or (len(lu) == 0 and len(ru) == 0):
             if state.exists:
                 state.remove()
             return
-        state.update(tuple(x.tobytes() for x in (lu, lo, li, ru, ri)))
-        # the last waiting left row is due at its horizon; candidates alone wait for their own
+        state.update(tuple(v.tobytes() for v in (*left, *right)))
+        # the last waiting left reading is due at its horizon; candidates alone wait for their own
         last = int(lu.max() if len(lu) else ru.max())
         state.setTimeoutTimestamp(max((last + tol) // 1000 + 2, state.getCurrentWatermarkMs() + 1))
 
@@ -148,17 +160,20 @@ def match_stream(stream: DataFrame, rules: NearestRules | None = None) -> DataFr
     if stream.schema["us"].dataType.typeName() == "long":
         stream = stream.withColumns({"us": F.array("us"), "ident": F.array("ident")})
     timed = stream.withColumn("at", F.timestamp_micros(F.array_min("us"))).withWatermark("at", r.lateness)
-    found = timed.groupBy("side", "entity", "block").applyInPandasWithState(_matcher(r), FOUND, STATE, "append", "EventTimeTimeout")
+    # an entity of each side is a number of its own
+    keyed = timed.withColumn("entity", F.col("entity") * 2 + F.expr(CODE)).withColumn("bucket", F.pmod(F.xxhash64("entity"), F.lit(r.buckets)))
+    found = keyed.groupBy("bucket", "block").applyInPandasWithState(_matcher(r), FOUND, STATE, "append", "EventTimeTimeout")
     # a row for each call of the matcher, taken apart in the JVM
-    rows = found.select("side", F.explode(F.arrays_zip("owner", "at", "match", "distance")).alias("m"))
-    return rows.select(F.col("m.owner").alias("traj_id"), F.col("m.at").alias("odom_idx"), "side", F.col("m.match").alias("match_id"), F.col("m.distance").alias("distance_us"))
+    rows = found.select(F.explode(F.arrays_zip("entity", "owner", "at", "match", "distance")).alias("m"))
+    side = F.when(F.pmod("m.entity", F.lit(2)) == 1, "camera").otherwise("control")
+    return rows.select(F.col("m.owner").alias("traj_id"), F.col("m.at").alias("odom_idx"), side.alias("side"), F.col("m.match").alias("match_id"), F.col("m.distance").alias("distance_us"))
 
 
-def in_time_order(events: DataFrame, rules: NearestRules) -> tuple[str, int]:
-    """Writes events in files by time whose order of change is that of time, and an END past all horizons; gives their folder and the files of a micro-batch."""
+def in_time_order(events: DataFrame, rules: NearestRules) -> tuple[str, int, int]:
+    """Writes events in files by time whose order of change is that of time, and an END past all horizons; gives their folder, the files of a micro-batch and the buckets of a block."""
     spark = events.sparkSession
     rows = cut(events, "pieces")
-    n, last = rows.agg(F.coalesce(F.sum(F.size("us")), F.lit(0)), F.coalesce(F.max(F.array_max("us")), F.lit(0))).first()
+    n, last, blocks = rows.agg(F.coalesce(F.sum(F.size("us")), F.lit(0)), F.coalesce(F.max(F.array_max("us")), F.lit(0)), F.approx_count_distinct("block")).first()
     slots = spark.sparkContext.defaultParallelism
     batches = max(rules.least_batches, math.ceil(n / (slots * rules.batch_readings)))
     end = spark.range(1).select(F.lit("control").alias("side"), F.lit(END).alias("kind"), F.lit(0).cast("long").alias("entity"), F.array(F.lit(last + 2 * rules.tolerance_us + 86_400_000_000)).alias("us"), F.lit(0).cast("long").alias("owner"), F.array(F.lit(0).cast("long")).alias("ident"), F.lit(0).cast("long").alias("block"))
@@ -172,15 +187,17 @@ def in_time_order(events: DataFrame, rules: NearestRules) -> tuple[str, int]:
     now = int(time.time() * 1000) - 10 * len(files)
     for k, f in enumerate(files):
         fs.setTimes(f, now + 10 * k, -1)
-    return path, max(1, math.ceil(len(files) / batches))
+    # as many keys as keep each small, and the cores of a micro-batch busy
+    buckets = math.ceil(max(n / rules.key_readings, 4 * slots * batches) / max(1, blocks))
+    return path, max(1, math.ceil(len(files) / batches)), max(1, buckets)
 
 
 def replay(traj: DataFrame, frames: DataFrame, rules: NearestRules) -> tuple[DataFrame, list]:
     """The matches of replay_matches and the progress of the stream's micro-batches."""
     spark = traj.sparkSession
-    path, files = in_time_order(odometry_events(traj, frames, rules), rules)
+    path, files, buckets = in_time_order(odometry_events(traj, frames, rules), rules)
     stream = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
-    found = match_stream(stream, rules)
+    found = match_stream(stream, replace(rules, buckets=buckets))
     work = shared_dir(spark, "nearest")
     # state on local disk with change logs in the shared folder: it may outgrow the heap, and survives a lost executor
     conf = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}

@@ -94,7 +94,7 @@ def test_replay_moves_the_watermark_and_keeps_state_small(spark):
     """Forty records one after another: most batches emit, none holds more keys than two batches bring, nothing is dropped as late."""
     traj = [(k, k % 3, [T0 + 1000.0 * k + 0.5 * i for i in range(100)], [T0 + 1000.0 * k + 0.5 * i + 0.04 for i in range(100)], "x") for k in range(40)]
     frames = [(k % 3, 1000 * k + i, T0 + 1000.0 * k + 0.5 * i - 0.03, "x") for k in range(40) for i in range(100)]
-    found, progress = replay(spark.createDataFrame(traj, TRAJ), spark.createDataFrame(frames, FRAMES), NearestRules(least_batches=8))
+    found, progress = replay(spark.createDataFrame(traj, TRAJ), spark.createDataFrame(frames, FRAMES), NearestRules(least_batches=8, block_us=1_800_000_000))
     assert {(r.traj_id, r.odom_idx, r.side, r.match_id) for r in found.collect()} == brute(traj, frames)
     state = [p["stateOperators"][0] for p in progress if p["stateOperators"]]
     keys = spark.createDataFrame(traj, TRAJ).count() * 2
