@@ -110,10 +110,23 @@ def every(df: DataFrame, stride: int) -> DataFrame:
     return df.withColumn("_k", F.row_number().over(by_record()) - 1).where(F.col("_k") % stride == 0).drop("_k")
 
 
+def bounded_straight() -> Column:
+    """The flag straight without a record's first and last row: the first is never straight, and a straight run that reaches the end leaves the last to the tail."""
+    w = Window.partitionBy("traj_id")
+    return F.col("straight") & (F.col("idx") > F.min("idx").over(w)) & (F.col("idx") < F.max("idx").over(w))
+
+
+def straight_segments(df: DataFrame) -> DataFrame:
+    """traj_id, start_idx, end_idx (exclusive), n of the maximal straight runs of records."""
+    d = df.withColumn("_s", bounded_straight())
+    change = F.when(F.lag("_s").over(by_record()) == F.col("_s"), 0).otherwise(1)
+    g = d.withColumn("segment", F.sum(change).over(by_record())).where("_s").groupBy("traj_id", "segment")
+    return g.agg(F.min("idx").alias("start_idx"), (F.max("idx") + 1).alias("end_idx"), F.count(F.lit(1)).alias("n")).drop("segment")
+
+
 def by_segment(df: DataFrame, straight_stride: Column | int, turn_stride: int = 4) -> DataFrame:
     """Strided rows, the stride starting anew in every segment of equal `straight`; row 0 is never straight, and a straight run that reaches the end leaves the last row to the tail."""
-    w = Window.partitionBy("traj_id")
-    d = df.withColumn("_s", F.col("straight") & (F.col("idx") > F.min("idx").over(w)) & (F.col("idx") < F.max("idx").over(w)))
+    d = df.withColumn("_s", bounded_straight())
     change = F.when(F.lag("_s").over(by_record()) == F.col("_s"), 0).otherwise(1)
     d = d.withColumn("segment", F.sum(change).over(by_record()))
     k = F.row_number().over(Window.partitionBy("traj_id", "segment").orderBy("idx")) - 1

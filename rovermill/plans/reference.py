@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rovermill.functions import geo
-from rovermill.functions.kinematics import RPM, command_speed, compass_yaw, gauss, wheel_speed
+from rovermill.functions.kinematics import FIRST, GPS, RPM, Robot, command_speed, compass_yaw, gauss, wheel_speed
 from rovermill.functions.timeline import finite, micros
 from rovermill.operators import asof, ekf, nested, resample, signal
 from rovermill.operators.sequences import chunked, islands, numbered, previous, running
@@ -177,6 +177,23 @@ def k10(spark: SparkSession, d: str) -> DataFrame:
     return r.where("c is null or f is null").select("ride_id", F.when(F.col("c").isNull(), "no control").otherwise("no frames").alias("reason"))
 
 
+@ref("ref_f14_rejected_records", "with t as (select distinct traj_id, ride_id, uri from traj_data), f as (select distinct ride_id from recordings where stream = 'front') select traj_id, t.ride_id, 'no front files' as reason from t anti join f using (ride_id)")
+def f14(spark: SparkSession, d: str) -> DataFrame:
+    """Trajectory records whose ride has no front file at all (the list of the rejected)."""
+    t = table(spark, d, "traj_data").select("traj_id", "ride_id", "uri").distinct()
+    f = table(spark, d, "recordings").where("stream = 'front'").select("ride_id").distinct()
+    return t.join(f, "ride_id", "left_anti").select("traj_id", "ride_id", F.lit("no front files").alias("reason"))
+
+
+@ref("ref_k04_numbered_files", "select 'ride_' || ride_id || '_' || stream as folder, row_number() over (partition by ride_id, stream order by rec_id) - 1 as n, cast(octet_length(encode(payload)) as bigint) as n_bytes from (select distinct rec_id, ride_id, stream, payload from recordings where payload is not null)")
+def k04(spark: SparkSession, d: str) -> DataFrame:
+    """Binary cells as numbered files of a folder each, and their listing."""
+    r = table(spark, d, "recordings").where("payload is not null").select("rec_id", "ride_id", "stream", "payload").distinct()
+    n = (F.row_number().over(Window.partitionBy("ride_id", "stream").orderBy("rec_id")) - 1).cast("long")
+    rows = r.select(F.format_string("ride_%d_%s", "ride_id", "stream").alias("folder"), n.alias("n"), F.encode("payload", "UTF-8").alias("content"))
+    return files.write_numbered(rows, shared_dir(spark, "numbered"), "csv").select("folder", "n", "n_bytes")
+
+
 @ref("ref_k13_summary", f"with {CTL}, {FRM} select (select count(distinct ride_id) from rides) as n_rides, (select count(*) from ctl) as n_control, (select count(*) from frm) as n_frames, (select count(distinct traj_id) from traj_data) as n_records")
 def k13(spark: SparkSession, d: str) -> DataFrame:
     n = lambda df, c: df.agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit(c))
@@ -643,6 +660,15 @@ def w10(spark: SparkSession, d: str) -> DataFrame:
     return resample.by_segment(q.withColumn("k", k.scalar()), F.col("k")).select("traj_id", "idx")
 
 
+_HALF = _V2[: _V2.index("h as (select")].rstrip().rstrip(",")
+
+
+@ref("ref_w06_segments", _HALF + " select traj_id, min(idx) as start_idx, max(idx) + 1 as end_idx, count(*) as n from g where s group by traj_id, seg")
+def w06_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Straight runs of records, half open: row 0 is in none, and a run that reaches the last row leaves it to the tail."""
+    return resample.straight_segments(_with_commands(spark, d)).select("traj_id", "start_idx", "end_idx", "n")
+
+
 def _kernel_sql() -> str:
     vals = ", ".join(f"({k}, {w!r})" for k, w in zip(range(-6, 7), signal.gaussian_kernel(1.5), strict=True))
     return f"""with {FIX}, s as (select gps_id, ride_id, latitude, longitude, row_number() over (partition by ride_id order by us, gps_id) - 1 as i, count(*) over (partition by ride_id) as n from fix), k(o, w) as (values {vals}),
@@ -671,6 +697,12 @@ def o03(spark: SparkSession, d: str) -> DataFrame:
     return numbered(control(spark, d, ())).where("seq < 5").select("ride_id", "control_id", (F.col("seq") + 1).alias("rank"))
 
 
+@ref("ref_o04_first_ten", f"with {CTL} select ride_id, control_id, us from ctl order by ride_id, us, control_id limit 10")
+def o04(spark: SparkSession, d: str) -> DataFrame:
+    """The first ten rows of all (a top-k report)."""
+    return control(spark, d, ()).select("ride_id", "control_id", "us").orderBy("ride_id", "us", "control_id").limit(10)
+
+
 @ref("ref_o05_top1", f"with {CLN} select ride_id, arg_max(control_id, (linear, -control_id)) as control_id from cln group by ride_id")
 def o05(spark: SparkSession, d: str) -> DataFrame:
     return clean_control(spark, d).groupBy("ride_id").agg(F.max_by("control_id", F.struct("linear", -F.col("control_id"))).alias("control_id"))
@@ -771,16 +803,47 @@ def mp1(spark: SparkSession, d: str) -> DataFrame:
 # --- estimation and pipelines
 
 
-def _filter_events(spark: SparkSession, d: str) -> DataFrame:
-    """Wheel speeds (kind 1) and projected positions (kind 0) of every ride."""
+def _filter_events(spark: SparkSession, d: str, robot: Robot = RPM, sigma: float = 0.0) -> DataFrame:
+    """Wheel speeds (kind 1) and projected positions (kind 0) of every ride; with sigma positions are smoothed over that many fixes."""
     c = clean_control(spark, d)
-    v, w = wheel_speed(*(F.col(x) for x in WHEELS), RPM)
+    v, w = wheel_speed(*(F.col(x) for x in WHEELS), robot)
     c = c.select("ride_id", "us", F.lit(ekf.CONTROL).alias("kind"), F.col("control_id").alias("id"), v.alias("v"), w.alias("w"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
     g = fixes(spark, d).withColumn("zone", F.expr(geo.zone("latitude", "longitude")))
-    g = g.select("ride_id", "us", F.lit(ekf.POSITION).alias("kind"), F.col("gps_id").alias("id"), F.lit(0.0).alias("v"), F.lit(0.0).alias("w"), F.expr(_UTM[0]).alias("x"), F.expr(_UTM[1]).alias("y"))
+    g = g.select("ride_id", "us", "chunk", "gps_id", F.expr(_UTM[0]).alias("x"), F.expr(_UTM[1]).alias("y"))
+    if sigma:
+        g = signal.smooth(numbered(g, order=("us", "gps_id")), ["x", "y"], sigma).withColumns({"x": F.col("x_smooth"), "y": F.col("y_smooth")})
+    g = g.select("ride_id", (F.col("us") + robot.gps_offset_us).alias("us"), F.lit(ekf.POSITION).alias("kind"), F.col("gps_id").alias("id"), F.lit(0.0).alias("v"), F.lit(0.0).alias("w"), "x", "y")
     return c.unionByName(g)
 
 
+def _headed(track: DataFrame) -> DataFrame:
+    """A filtered track with the direction of each step as yaw (the filter's heading at its first row)."""
+    p = previous(chunked(track), ["x", "y"], order=("us", "idx"), settle=True)
+    return p.withColumn("yaw", F.when(F.col("prev").isNull(), F.col("heading")).otherwise(F.atan2(F.col("y") - F.col("prev.y"), F.col("x") - F.col("prev.x")))).drop("prev", "heading")
+
+
+@ref("ref_vgps_track")
+def vgps(spark: SparkSession, d: str) -> DataFrame:
+    """The converter by positions as one plan: smoothed positions six seconds back, filter, headings from steps, cutoff at the first frame, one row a time, nearest frame within 0.1 s, one row a frame."""
+    t = _headed(ekf.filtered_track(_filter_events(spark, d, GPS, 1.5)))
+    f = frames(spark, d)
+    t0 = f.groupBy("ride_id").agg(F.min_by("us", "frame_id").alias("t0"))
+    t = t.join(t0, "ride_id").where("us - t0 >= -100000")
+    t = cut(t.groupBy("ride_id", "us").agg(F.min_by(F.struct("idx", "x", "y", "yaw"), "idx").alias("s")).select("ride_id", "us", "s.*"), "track")
+    hit = asof.nearest(t, f, "ride_id", "idx", "frame_id", 100_000).select("ride_id", "idx", "frame_id", F.col("right_us").alias("frame_us"))
+    rows = t.join(hit, ["ride_id", "idx"])
+    first = F.min_by(F.struct("x", "y", "yaw"), "us").alias("s")
+    return rows.groupBy("ride_id", "frame_id", "frame_us").agg(first).select("ride_id", "frame_id", *[F.round(f"s.{c}", 3).alias(c) for c in ("x", "y", "yaw")], "frame_us")
+
+
+@ref("ref_v0_track")
+def v0(spark: SparkSession, d: str) -> DataFrame:
+    """The first converter as one plan: smoothed positions six seconds back, filter, headings from steps, nearest frame whatever the distance. Its optical flow is not built."""
+    t = cut(_headed(ekf.filtered_track(_filter_events(spark, d, FIRST, 1.5))), "track")
+    hit = asof.nearest(t, frames(spark, d), "ride_id", "idx", "frame_id").select("ride_id", "idx", "frame_id")
+    return t.join(hit, ["ride_id", "idx"]).select("ride_id", "idx", "frame_id", *[F.round(c, 3).alias(c) for c in ("x", "y", "yaw")], "us")
+
+
 @ref("ref_e01_filter")
 def e01(spark: SparkSession, d: str) -> DataFrame:
     """Extended Kalman filter over wheels and positions of a whole ride (order-dependent, no SQL; tests hold it against hand-worked vectors)."""
