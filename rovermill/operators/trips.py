@@ -22,7 +22,7 @@ M_PER_DEG_LAT, M_PER_DEG_LON = 110_540.0, 111_320.0
 
 @dataclass(frozen=True)
 class StopRules:
-    """Parameters; metres and seconds. chunk_s and halo_s only divide the work, they don't change results of stops up to halo_s."""
+    """Parameters; metres and seconds. chunk_s and halo_s divide the work: each chunk judges its fixes with halo_s more on both sides, and what crosses a border is put together from its pieces."""
 
     eps_m: float = 8.0
     window_s: float = 90.0

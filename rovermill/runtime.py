@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -66,3 +67,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def process_cache() -> dict:
     """Objects kept for the life of a Python process. Functions that travel by value bring their module's globals along, so a worker's caches stay outside of them."""
     return sys.__dict__.setdefault("_rovermill_cache", {})
+
+
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of an input of fewer splits than the cluster has cores, hashed by columns over four tasks a core; others are left as they are.
+
+    For work that costs far more than moving its rows. by should tell rows apart. Rows that come out of a shuffle are spread already.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution()
+    if "Exchange" in plan.executedPlan().toString() or plan.toRdd().getNumPartitions() >= 2 * slots:
+        return df
+    return df.repartition(4 * slots, F.xxhash64(*by))
