@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rovermill.runtime import process_cache
+from rovermill.runtime import process_cache, spread
 
 #: Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -218,7 +218,7 @@ def encode_corpus(docs: DataFrame, rules: EncodingRules | None = None) -> DataFr
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(lo, hi - lo).cast(pa.int64()), lists], schema=schema)
                 lo = hi
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return spread(docs.select("doc_id", "text"), "doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def token_counts(docs: DataFrame, rules: EncodingRules | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rovermill.runtime import spread
+
 DOT, CUT, HELD, PARAGRAPH = "\ue000", "\ue001", "\ue002", "\ue003"
 #: What stands for these four while a text that holds them is read; as private, and no mark.
 FOREIGN = "\uf8f0"
@@ -141,7 +143,7 @@ def sentences(docs: DataFrame, with_text: bool = True) -> DataFrame:
     docs: doc_id, text; other columns are ignored. Null and blank texts give no rows; a text without any terminator is one
     sentence. Outer white space belongs to no sentence. Rows that repeat a doc_id are read as they come.
     """
-    parts = marked(docs.select("doc_id", "text").where("text is not null")).withColumn("parts", F.split("masked", CUT)).drop("masked")
+    parts = marked(spread(docs.select("doc_id", "text").where("text is not null"), "doc_id", "text")).withColumn("parts", F.split("masked", CUT)).drop("masked")
     size = F.transform("parts", lambda p: F.struct(F.length(p).alias("n"), (F.length(p) - F.length(F.ltrim(p, F.lit(_SPACES)))).alias("lead"), F.length(F.trim(p, F.lit(_SPACES))).alias("body")))
     rows = parts.withColumn("size", size).drop("parts")
     blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("size") - 1) / BLOCK).cast("int")), lambda b: F.slice("size", b * BLOCK + 1, F.lit(BLOCK)))
