@@ -33,21 +33,32 @@ class GridRules:
     dense: int = 600
 
 
+def hankel(v: np.ndarray, window: int) -> np.ndarray:
+    """The Hankel matrix of a series as a view: row i holds the window from entry i on."""
+    v = np.ascontiguousarray(v, float)
+    return np.ndarray((len(v) - window + 1, window), float, v, 0, (8, 8))
+
+
 def leading(v: np.ndarray, window: int, rank: int) -> np.ndarray:
     """The leading right singular vectors of the series' Hankel matrix."""
-    h = np.lib.stride_tricks.sliding_window_view(v, window)
+    h = hankel(v, window)
     return np.linalg.eigh(h.T @ h)[1][:, -rank:]
 
 
-def smoothed(v: np.ndarray, lead: np.ndarray) -> np.ndarray:
-    """The series after projecting its Hankel matrix on lead: diagonal averages."""
+def summed(v: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """The sums of the diagonals of the series' Hankel matrix projected on lead."""
     window, n = len(lead), len(v)
     k = n - window + 1
-    low = ((np.lib.stride_tricks.sliding_window_view(v, window) @ lead) @ lead.T).T
+    low = lead @ (hankel(v, window) @ lead).T
     total = np.zeros(n)
     for j in range(window):
         total[j : j + k] += low[j]
-    return total / copies(n, window)
+    return total
+
+
+def smoothed(v: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """The series after projecting its Hankel matrix on lead: diagonal averages."""
+    return summed(v, lead) / copies(len(v), len(lead))
 
 
 def hankel_smooth(v: np.ndarray, window: int, rank: int) -> np.ndarray:
@@ -86,7 +97,7 @@ class Settled:
 
     def __call__(self, v: np.ndarray, lead: np.ndarray) -> np.ndarray:
         gap, weight = self.gap, self.weight
-        right = (weight * smoothed(np.where(gap, 0.0, v), lead))[gap]
+        right = summed(np.where(gap, 0.0, v), lead)[gap]
         if self.direct:
             p = np.zeros((self.window + 1, self.window))
             p[:-1] = lead @ lead.T
@@ -99,7 +110,7 @@ class Settled:
 
         def product(x: np.ndarray) -> np.ndarray:
             full[gap] = x
-            return (weight * (full - smoothed(full, lead)))[gap]
+            return (weight * full - summed(full, lead))[gap]
 
         x = v[gap]
         r = right - product(x)
@@ -116,25 +127,30 @@ class Settled:
         return x
 
 
-def filled(v: np.ndarray, r: GridRules) -> tuple[np.ndarray, bool]:
-    """The series of impute, and whether it settled within the rounds."""
+def width(n: int, r: GridRules) -> int:
+    """Columns of the Hankel matrix of n entries."""
+    return min(r.window, n // 2)
+
+
+def filled(v: np.ndarray, r: GridRules, settle: Settled | None = None) -> tuple[np.ndarray, bool]:
+    """The series of impute, and whether it settled within the rounds. settle: that of another series with the same gaps."""
     gap = np.isnan(v)
     if not gap.any() or gap.all():
         return v, True
     at = np.arange(len(v))
     out = v.copy()
     out[gap] = np.interp(at[gap], at[~gap], v[~gap])
-    window = min(r.window, len(v) // 2)
+    window = width(len(v), r)
     rank = min(r.rank, window - 1)
     if rank < 1:
         return out, True
     mid = out.mean()
     out -= mid
     size = max(float(np.abs(out).max()), 1e-9)
-    settled, settle = False, Settled(gap, window, r.dense)
+    settled, settle = False, settle or Settled(gap, window, r.dense)
     for _ in range(r.rounds):
         lead = leading(out, window, rank)
-        if np.abs(smoothed(out, lead)[gap] - out[gap]).max() <= r.tolerance * size:
+        if np.abs((summed(out, lead) / settle.weight - out)[gap]).max() <= r.tolerance * size:
             settled = True
             break
         out[gap] = settle(out, lead)
@@ -179,8 +195,10 @@ def regularise(us: np.ndarray, values: np.ndarray, r: GridRules) -> tuple[np.nda
     for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(slots)], strict=True):
         if missing[lo]:
             continue
+        gap = np.isnan(grid[0, lo:hi]) if len(values) else np.zeros(0, bool)
+        shared = Settled(gap, width(hi - lo, r), r.dense) if gap.any() and not gap.all() and width(hi - lo, r) > 1 else None
         for k in range(len(values)):
-            grid[k, lo:hi], settled = filled(grid[k, lo:hi], r)
+            grid[k, lo:hi], settled = filled(grid[k, lo:hi], r, shared)
             if not settled:
                 status[lo:hi][status[lo:hi] == 1] = 3
     return slots, status, grid
