@@ -85,10 +85,23 @@ def best_lag(corr: DataFrame, entity: str = "ride_id", least: float = 0.7) -> Da
     return t.select(entity, lag.alias("lag"), r.alias("r"), F.coalesce(~F.col("undefined") & (F.col("best.r") > least), F.lit(False)).alias("aligned"))
 
 
-def shifted(df: DataFrame, lags: DataFrame, move: list[str], keep: list[str], entity: str = "ride_id") -> DataFrame:
-    """Rows with the columns of move taken `lag` positions later than those of keep; rows that lose their partner fall away. Null lags count as 0."""
-    k = lags.select(entity, F.coalesce("lag", F.lit(0)).alias("_lag"))
-    one = df.join(k, entity, "left").withColumn("_lag", F.coalesce("_lag", F.lit(0)))
-    a = one.select(entity, "seq", *keep)
-    b = one.select(entity, (F.col("seq") - F.col("_lag")).alias("seq"), *move)
-    return a.join(b, [entity, "seq"])
+def shifted(df: DataFrame, lags: DataFrame, move: list[str], keep: list[str], entity: str = "ride_id", reach: int = 100, span: int = 8_192) -> DataFrame:
+    """entity, seq, keep and move: rows with the columns of move taken `lag` positions later than those of keep.
+
+    df: entity, seq (dense from 0), keep and move, none of them null. Rows that lose their partner fall away. Null lags count as 0, as
+    do those of entities without one; none is longer than reach. Blocks of positions carry a halo of it, so rows are shuffled once.
+    """
+    k = lags.select(entity, F.coalesce("lag", F.lit(0)).cast("long").alias("_lag"))
+    one = df.select(entity, "seq", *keep, *move).join(k, entity, "left").withColumn("_lag", F.coalesce("_lag", F.lit(0).cast("long")))
+    rows = with_halo(one, F.col("seq"), span, reach, reach)
+
+    def fn(key: dict, a: dict) -> dict | None:
+        lag = int(a["_lag"][0])
+        if abs(lag) > reach:
+            raise ValueError(f"a lag of {lag} rows is beyond the reach of {reach}")
+        at = np.flatnonzero(a["own"].astype(bool))
+        at = at[(at + lag >= 0) & (at + lag < len(a["seq"]))]
+        return {entity: np.full(len(at), key[entity]), "seq": a["seq"][at]} | {c: a[c][at] for c in keep} | {c: a[c][at + lag] for c in move}
+
+    schema = df.select(entity, "seq", *keep, *move).schema
+    return map_groups(rows, [entity, "chunk"], ["seq"], fn, schema)
