@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from rovermill.functions import geo
 from rovermill.functions.kinematics import FIRST, GPS, RPM, Robot, command_speed, compass_yaw, gauss, wheel_speed
 from rovermill.functions.timeline import finite, micros
-from rovermill.operators import asof, ekf, nested, resample, signal
+from rovermill.operators import asof, ekf, flow, nested, resample, signal
 from rovermill.operators.sequences import chunked, islands, numbered, previous, running
 from rovermill.plans.views import WHEELS, clean_control, commands, control, fixes, frames, odometry
 from rovermill.runtime import cut, shared_dir, table
@@ -338,6 +338,18 @@ def a06(spark: SparkSession, d: str) -> DataFrame:
     return asof.forward(fixes(spark, d), control(spark, d, ()), "ride_id", "gps_id", "control_id").select("gps_id", "control_id")
 
 
+@ref("ref_a07_next_frame", f"with {CTL}, {FRM}, rr as (select ride_id, us, min(frame_id) as frame_id from frm group by ride_id, us) select control_id, frame_id from ctl l asof join rr r on l.ride_id = r.ride_id and l.us <= r.us")
+def a07(spark: SparkSession, d: str) -> DataFrame:
+    """First frame at or after every control row; control rows after the last frame have none."""
+    return asof.forward(control(spark, d, ()), frames(spark, d), "ride_id", "control_id", "frame_id", clamp=False).select("control_id", "frame_id")
+
+
+@ref("ref_w12_frame_pairs", f"with {FRM} select ride_id, frame_id, prev_frame_id, us, step_us from (select ride_id, frame_id, lag(frame_id) over w as prev_frame_id, us, us - lag(us) over w as step_us from frm window w as (partition by ride_id order by us, frame_id)) where prev_frame_id is not null")
+def w12(spark: SparkSession, d: str) -> DataFrame:
+    """Every frame with the one before it, as an operator on image pairs takes them."""
+    return flow.frame_pairs(frames(spark, d))
+
+
 @ref("ref_a08_zip", f"with {FRM}, {CTL}, a as (select ride_id, frame_id, row_number() over (partition by ride_id order by us, frame_id) as n from frm), b as (select ride_id, control_id, row_number() over {_ORD} as n from ctl) select ride_id, frame_id, control_id from a join b using (ride_id, n)")
 def a08(spark: SparkSession, d: str) -> DataFrame:
     a = numbered(frames(spark, d), "n", order=("us", "frame_id")).select("ride_id", "n", "frame_id")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rovermill.functions import geo
 from rovermill.functions.kinematics import RPM, crop_box, wheel_speed
-from rovermill.operators import ekf, resample, signal
+from rovermill.operators import ekf, flow, resample, signal
 from rovermill.operators.sequences import chunked, previous
 from rovermill.plans.reference import QUERIES, integrate
 from rovermill.sources import files
@@ -268,3 +268,12 @@ def test_folded_filter_over_whole_rides(spark, far_first):
     assert set(got.ride_id) == set(want)
     for ride, g in got.groupby("ride_id"):
         assert np.allclose(np.c_[g.x, g.y, g.heading, g.us / 1e6], want[ride], atol=1e-5)
+
+
+def test_flow(spark):
+    pts = [(1, 1, 100, 2.0, 0.0), (1, 1, 100, 4.0, 1.0), (1, 1, 100, None, 9.0), (1, 2, 200, None, None), (2, 1, 100, 1.0, 1.0)]
+    f = flow.mean_flow(spark.createDataFrame(pts, "ride_id long, frame_id long, us long, dx double, dy double"))
+    assert {(r.ride_id, r.frame_id): (r.dx, r.dy) for r in f.collect()} == {(1, 1): (3.0, 0.5), (1, 2): (0.0, 0.0), (2, 1): (1.0, 1.0)}
+    c = spark.createDataFrame([(1, 10, 90), (1, 11, 100), (1, 12, 101), (1, 13, 201), (3, 14, 1)], "ride_id long, control_id long, us long")
+    assert {(r.control_id, r.dx) for r in flow.flow_at_controls(f, c).collect()} == {(10, 3.0), (11, 3.0), (12, 0.0)}
+    assert flow.flow_at_controls(f.limit(0), c).count() == 0
