@@ -91,17 +91,20 @@ def shifted(df: DataFrame, lags: DataFrame, move: list[str], keep: list[str], en
     df: entity, seq (dense from 0), keep and move, none of them null. Rows that lose their partner fall away. Null lags count as 0, as
     do those of entities without one; none is longer than reach. Blocks of positions carry a halo of it, so rows are shuffled once.
     """
-    k = lags.select(entity, F.coalesce("lag", F.lit(0)).cast("long").alias("_lag"))
-    one = df.select(entity, "seq", *keep, *move).join(k, entity, "left").withColumn("_lag", F.coalesce("_lag", F.lit(0).cast("long")))
-    rows = with_halo(one, F.col("seq"), span, reach, reach)
+    cols = df.select(entity, "seq", *keep, *move)
+    rows = with_halo(cols.withColumn("_lag", F.lit(0).cast("long")), F.col("seq"), span, reach, reach)
+    # a block learns its lag from a row of its own, so that the rows of a ride needn't meet for a join
+    last = cols.groupBy(entity).agg(F.max("seq").alias("_n")).join(lags.select(entity, F.col("lag").alias("_lag")), entity, "left")
+    blocks = F.sequence(F.floor(F.lit(-reach) / F.lit(span)), F.floor((F.col("_n") + reach) / F.lit(span)))
+    types = {f.name: f.dataType for f in cols.schema}
+    told = last.select(entity, F.lit(-(2**62)).cast("long").alias("seq"), *[F.lit(0).cast(types[c]).alias(c) for c in (*keep, *move)], F.coalesce("_lag", F.lit(0)).cast("long").alias("_lag"), F.explode(blocks).alias("chunk"), F.lit(False).alias("own"))
 
     def fn(key: dict, a: dict) -> dict | None:
-        lag = int(a["_lag"][0])
+        lag, a = int(a["_lag"][0]), {c: v[1:] for c, v in a.items()}
         if abs(lag) > reach:
             raise ValueError(f"a lag of {lag} rows is beyond the reach of {reach}")
         at = np.flatnonzero(a["own"].astype(bool))
         at = at[(at + lag >= 0) & (at + lag < len(a["seq"]))]
         return {entity: np.full(len(at), key[entity]), "seq": a["seq"][at]} | {c: a[c][at] for c in keep} | {c: a[c][at + lag] for c in move}
 
-    schema = df.select(entity, "seq", *keep, *move).schema
-    return map_groups(rows, [entity, "chunk"], ["seq"], fn, schema)
+    return map_groups(rows.unionByName(told), [entity, "chunk"], ["seq"], fn, cols.schema)
