@@ -41,9 +41,10 @@ def runs_of(df: DataFrame, flag: str) -> DataFrame:
 
 def with_ends(control: DataFrame) -> DataFrame:
     """Adds end, (cidx, us) of the first moving row after each control row, or of the record's last one. control: traj_id, cidx, us, still."""
-    w = Window.partitionBy("traj_id").orderBy("cidx")
+    # from the last row back: a frame that ends at the last row is summed up anew for every row
+    w = Window.partitionBy("traj_id").orderBy(F.col("cidx").desc())
     at = F.struct("cidx", "us")
-    moving = F.min(F.when(~F.col("still"), at)).over(w.rowsBetween(1, Window.unboundedFollowing))
+    moving = F.min(F.when(~F.col("still"), at)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     return control.withColumn("end", F.coalesce(moving, F.max(at).over(Window.partitionBy("traj_id"))))
 
 
@@ -70,7 +71,8 @@ def scanned(near: DataFrame, control: DataFrame) -> DataFrame:
     """traj_id, new_idx, idx, image_idx of what one scan over each record keeps, with its quirks: new row new_idx holds the data of row idx and the image of row image_idx (null where the other list is longer).
 
     The row a pause ends at is not tested again; the scan ends early where a pause ends at the row the one before ended at; a
-    stretch of one row between pauses keeps the row its pause began at. near and control as in pauses.
+    stretch of one row between pauses keeps the row its pause began at. Times out of order can lead a pause to a row that an earlier one
+    ended at: from there the scan would go round for ever, so it ends early there too. near and control as in pauses.
     """
     met = near.join(with_ends(control).select("traj_id", "cidx", "still", F.col("end.cidx").alias("end")), ["traj_id", "cidx"])
 
@@ -78,13 +80,15 @@ def scanned(near: DataFrame, control: DataFrame) -> DataFrame:
         c, n = a["cidx"], len(a["cidx"])
         data: list[np.ndarray] = []
         gone = np.zeros(n, bool)
+        ended: set[int] = set()
         at = resumed = 0
         while at < n:
             if a["still"][at]:
                 to = int(np.argmin(np.abs(c - a["end"][at])))
-                gone[at:to] = True
-                if to == resumed:
+                if to == resumed or to in ended:
                     break
+                ended.add(to)
+                gone[at:to] = True
                 one = resumed and at - resumed == 1
                 data.append(np.arange(at, at + 1) if one else np.arange(resumed, at))
                 at = resumed = to

@@ -101,6 +101,19 @@ def test_scanned_pauses_keep_their_quirks(spark):
     assert [r.idx for r in resample.scanned(near, c).orderBy("new_idx").collect()] == [0, 1, 2, 3, *range(7, 20)]
 
 
+def test_scanned_pauses_that_go_round_end(spark):
+    # row 15 has a time out of order: its pause is the one of row 3 and leads back there, from where the scan would come to row 15 again
+    near, c = controls(spark, 80, set(range(9, 13)) | set(range(28, 34)))
+    near = near.withColumn("cidx", F.when(F.col("idx") == 15, 10).otherwise(F.col("cidx")))
+    rows = resample.scanned(near, c).orderBy("new_idx").collect()
+    assert [r.idx for r in rows] == [r.image_idx for r in rows] == [*range(7), *range(8, 20)]
+    # back to row 3, where no pause ended before, the scan goes once and keeps those rows twice; it ends as row 7 leads to row 8 again
+    near = near.withColumn("cidx", F.when(F.col("idx") == 3, 16).otherwise(F.col("cidx")))
+    rows = resample.scanned(near, c).orderBy("new_idx").collect()
+    data, images = [r.idx for r in rows if r.idx is not None], [r.image_idx for r in rows if r.image_idx is not None]
+    assert data == [*range(7), *range(8, 15), *range(3, 20)] and images == [*range(7), *range(8, 20)]
+
+
 def krueger(lat, lon, zone):
     """UTM by the sixth-order series in the third flattening (conformal latitude, then complex sines): another derivation than the operator's."""
     a, f = 6378137.0, 1 / 298.257223563
